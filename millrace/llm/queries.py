@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import secret_scan, url_rules
+import public_tokenizers
+
+from . import bpe, secret_scan, token_counts, url_rules
 from .common import table
 
 
@@ -10,6 +12,14 @@ def op1_secret_scan(spark, sf_dir):
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
 
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op6_byte_bpe(spark, sf_dir):
+    return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op8_url_filter(spark, sf_dir):
     return url_rules.url_filter(table(spark, sf_dir, "pages"))
 
