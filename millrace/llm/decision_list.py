@@ -96,7 +96,8 @@ def learn(x: np.ndarray, bad: np.ndarray, names: list[str], max_rules: int = 12,
     if not bad.any() or bad.all():
         return rules
     part = np.arange(len(x)) % 3
-    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0.01, 0.99, 50))) for j in range(x.shape[1])]
+    seen = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, 101))) for j in range(x.shape[1])]
+    cuts = [(v[1:] + v[:-1]) / 2 for v in seen]  # half way between observed values
     left = np.ones(len(x), bool)
 
     def holds(conds, rows) -> np.ndarray:
