@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decision_list, secret_scan, tiling, token_counts, url_rules
+from . import bpe, decision_list, language_id, quality_cotrain, secret_scan, tiling, token_counts, url_rules
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_cotraining(spark, sf_dir):
+    return quality_cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decision_list(spark, sf_dir):
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +36,10 @@ def op9_string_tiling(spark, sf_dir):
     return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark, sf_dir):
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
