@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decision_list, language_id, quality_cotrain, secret_scan, tiling, token_counts, url_rules
+from . import bpe, decision_list, language_id, near_dedup, quality_cotrain, secret_scan, tiling, token_counts, url_rules
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op7_hyperminhash(spark, sf_dir):
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark, sf_dir):
     return url_rules.url_filter(table(spark, sf_dir, "pages"))
 
