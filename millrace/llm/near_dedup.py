@@ -227,3 +227,10 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str
 def _find(pairs, nodes, docs, least, words, percent, id_col, text_col) -> DataFrame:
     near = snapshot(_keep_near(pairs, nodes, least))
     return snapshot(_confirm(near, docs, words, percent, id_col, text_col))
+
+
+def keep_first(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs of the least id of each group, whole; of rows with one id one stays, rows without an id all do."""
+    kept = near_groups(docs, words, percent, id_col, text_col).filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col))
+    some = docs.filter(F.col(id_col).isNotNull()).join(kept.distinct(), id_col, "left_semi").dropDuplicates([id_col])
+    return some.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decision_list, language_id, near_dedup, quality_cotrain, secret_scan, tiling, token_counts, url_rules
+from . import bpe, decision_list, language_id, near_dedup, quality_cotrain, secret_scan, suffix_dedup, tiling, token_counts, url_rules
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_cotraining(spark, sf_dir):
     return quality_cotrain.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_suffix_merge(spark, sf_dir):
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_decision_list(spark, sf_dir):
     return decision_list.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
