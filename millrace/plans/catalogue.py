@@ -1,11 +1,637 @@
-"""The queries of this engine's own operators by name, and their SQL."""
+"""The queries of this engine's operators over the driver's tables, by name, and their DuckDB SQL."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from ..functions import fingerprint as fp
+from ..functions import scalars as sc
+from ..functions import text as tx
+from ..operators import dashboard as db
+from ..operators import dedup, language, monitor, qa, rag, store
+
+AS_OF = "TIMESTAMP '2024-01-02 00:00:00'"
+Q, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    """Registers a query (spark, sf_dir) -> DataFrame under its name, with its SQL."""
+
+    def add(f):
+        Q[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(Q)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
+
+
+# Views of the driver's tables as the store's tables ------------------------------------------------------------------
+
+MINUTE = "TIMESTAMP '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(doc_id AS INT), 0)"
+_URL = "concat('https://', source, '.example.com/doc/', doc_id)"
+ARTICLES_SQL = f"""articles AS (
+  SELECT doc_id AS id, {_URL} AS url, sha256({_URL}) AS url_hash, text AS content_md, source AS source_type, lang AS language,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id::INT) AS crawled_at, (doc_id % 10) / 10.0::DOUBLE AS quality_score
+  FROM documents)"""
+#: documents has no code, links, headings or set phrases: they are added by the id's remainder.
+EXTRA = {
+    1: "\n\n```python\n" + "x = compute(value)\n" * 6 + "```\nand `inline_code` here",
+    2: "\n" + "see [a page](https://example.com/a) and https://example.com/b\n" * 4,
+    3: "\nPlease subscribe for more",
+    4: "\ncan someone help me with this",
+    5: "\n# Title\n\nbody of the title\n\n## Part\n\nbody of the part",
+}
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+EXT_SQL = ARTICLES_SQL + ", ext AS (SELECT * REPLACE (CASE id % 7 " + " ".join(f"WHEN {k} THEN concat(content_md, {_lit(v)})" for k, v in EXTRA.items()) + " WHEN 6 THEN left(content_md, 90) ELSE content_md END AS content_md) FROM articles)"
+
+
+def table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def articles(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    d = d.withColumn("url", F.expr(_URL))
+    return d.select(
+        F.col("doc_id").alias("id"), "url", sc.url_hash(F.col("url")).alias("url_hash"), F.col("text").alias("content_md"), F.col("source").alias("source_type"),
+        F.col("lang").alias("language"), F.expr(MINUTE).cast("timestamp").alias("crawled_at"), ((F.col("doc_id") % 10) / F.lit(10.0)).alias("quality_score"),
+    )
+
+
+def articles_ext(spark, sf_dir):
+    a, text = articles(spark, sf_dir), F.col("content_md")
+    out = None
+    for k, v in EXTRA.items():
+        hit, to = F.col("id") % 7 == k, F.concat(text, F.lit(v))
+        out = F.when(hit, to) if out is None else out.when(hit, to)
+    return a.withColumn("content_md", out.when(F.col("id") % 7 == 6, F.left(text, F.lit(90))).otherwise(text))
+
+
+def as_of():
+    return F.expr(AS_OF)
+
+
+# Text features and the gate ------------------------------------------------------------------------------------------
+
+_P = {k: v.replace("'", "''") for k, v in {"fence": tx.FENCE, "inline": tx.INLINE, "link": tx.LINK, "word": tx.WORD, "spam": "(?i)" + tx.SPAM, "help": "(?i)" + tx.HELP_ASKED}.items()}
+FEATURES_SQL = f"""{EXT_SQL}, words AS (
+  SELECT *, len(regexp_extract_all(content_md, '{_P["word"]}')) AS n_words, len(list_distinct(regexp_extract_all(lower(content_md), '{_P["word"]}'))) AS n_unique,
+         len(regexp_extract_all(lower(content_md), '{_P["word"]}')) AS n_lower FROM ext),
+features AS (
+  SELECT *, length(content_md) AS len,
+         coalesce(list_sum(list_transform(regexp_extract_all(content_md, '{_P["fence"]}', 1), lambda x: length(x))), 0)
+         + coalesce(list_sum(list_transform(regexp_extract_all(content_md, '{_P["inline"]}'), lambda x: length(x))), 0) AS code_chars,
+         CASE WHEN n_words < 20 THEN 0.0::DOUBLE ELSE len(regexp_extract_all(content_md, '{_P["link"]}'))::DOUBLE / n_words END AS link_ratio,
+         CASE WHEN n_lower < 20 THEN 1.0::DOUBLE ELSE n_unique::DOUBLE / n_lower END AS unique_ratio,
+         regexp_matches(content_md, '{_P["spam"]}') AS spam, regexp_matches(content_md, '{_P["help"]}') AS help FROM words),
+gate AS (
+  SELECT *, CASE WHEN content_md IS NULL OR content_md = '' THEN 'empty' WHEN spam THEN 'spam' WHEN code_chars >= 80 THEN 'code_rich' WHEN link_ratio > 0.30 THEN 'link_dump'
+              WHEN unique_ratio < 0.25 THEN 'low_diversity' WHEN len < 100 THEN 'too_short' WHEN n_words < 50 THEN 'thin_prose' WHEN help AND n_words < 100 THEN 'help_request' ELSE 'ok' END AS reason
+  FROM features)"""
+SCORE_SQL = "round(greatest(0.0, least(1.0, least(len / 3000.0::DOUBLE, 1.0) * 0.4::DOUBLE + least(code_chars / 800.0::DOUBLE, 1.0) * 0.3::DOUBLE + greatest(0.0, least(unique_ratio, 1.0)) * 0.3::DOUBLE - least(link_ratio / 0.3::DOUBLE, 1.0) * 0.5::DOUBLE)), 3)"
+
+
+@query(f"WITH {FEATURES_SQL} SELECT reason, count(*) AS n FROM gate GROUP BY reason")
+def gate_histogram(spark, sf_dir):
+    """AGG13: rows by the gate's verdict, most first."""
+    return tx.assess(articles_ext(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
+
+
+@query(f"WITH {FEATURES_SQL} SELECT id, reason, reason IN ('code_rich', 'ok') AS keep FROM gate")
+def FLT03_gate_rows(spark, sf_dir):
+    return tx.assess(articles_ext(spark, sf_dir)).select("id", "reason", "keep")
+
+
+@query(f"WITH {FEATURES_SQL} SELECT id, len, n_words, code_chars::BIGINT AS code_chars, round(link_ratio, 4) AS link_ratio, round(unique_ratio, 4) AS unique_ratio, spam, help FROM features")
+def FN07_text_features(spark, sf_dir):
+    d = articles_ext(spark, sf_dir)
+    f = d.withColumns(tx.features(F.col("content_md")))
+    return f.select("id", F.col("len").cast("long").alias("len"), F.col("n_words").cast("long").alias("n_words"), F.col("code_chars").cast("long").alias("code_chars"), F.round("link_ratio", 4).alias("link_ratio"), F.round("unique_ratio", 4).alias("unique_ratio"), "spam", "help")
+
+
+@query(f"WITH {FEATURES_SQL} SELECT id, {SCORE_SQL} AS quality_score FROM features WHERE content_md <> ''")
+def FN12_quality_score(spark, sf_dir):
+    return tx.assess(articles_ext(spark, sf_dir)).filter("quality_score IS NOT NULL").select("id", "quality_score")
+
+
+@query(f"""WITH {EXT_SQL} SELECT id, sha256(regexp_replace(regexp_replace(content_md, '{_P["fence"]}', ' ', 'g'), '{_P["inline"]}', ' ', 'g')) AS digest FROM ext""")
+def FN11_strip_code(spark, sf_dir):
+    return articles_ext(spark, sf_dir).select("id", F.sha2(tx.strip_code(F.col("content_md")), 256).alias("digest"))
+
+
+# Dashboard -----------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT count(*) AS total, count(DISTINCT language) AS languages, count(*) FILTER (crawled_at >= {AS_OF} - INTERVAL 24 HOURS) AS last_24h FROM articles")
+def AGG01_summary(spark, sf_dir):
+    return db.summary(articles(spark, sf_dir), as_of())
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT language, count(*) AS n FROM articles GROUP BY language")
+def AGG02_lang_dist(spark, sf_dir):
+    return db.distribution(articles(spark, sf_dir), "language")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT source_type, count(*) AS n FROM articles GROUP BY source_type")
+def AGG03_source_dist(spark, sf_dir):
+    return db.distribution(articles(spark, sf_dir), "source_type")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT CAST(crawled_at AS DATE) AS day, count(*) AS n FROM articles WHERE crawled_at >= {AS_OF} - INTERVAL 30 DAYS GROUP BY 1")
+def AGG04_daily(spark, sf_dir):
+    return db.daily(articles(spark, sf_dir), as_of(), 30)
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT count(*) AS total, greatest(1, ceil(count(*) / 20.0))::BIGINT AS pages FROM articles WHERE language = 'en'")
+def AGG05_filtered_total(spark, sf_dir):
+    return db.total(articles(spark, sf_dir), 20, lang="en")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url, source_type, language, length(content_md) AS content_len, left(content_md, 300) AS preview FROM articles WHERE language = 'en' ORDER BY id DESC LIMIT 20 OFFSET 20")
+def TOP01_articles_page(spark, sf_dir):
+    return db.page(articles(spark, sf_dir), 2, 20, lang="en")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url FROM articles WHERE source_type = 'src3' AND (url ILIKE '%thing%' OR content_md ILIKE '%thing%')")
+def FLT06_article_search(spark, sf_dir):
+    return db.matching(articles(spark, sf_dir), q="thing", source="src3").select("id", "url")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url, url_hash, source_type, language, crawled_at FROM articles WHERE id = 42")
+def FLT08_article_detail(spark, sf_dir):
+    return db.detail(articles(spark, sf_dir), 42).select("id", "url", "url_hash", "source_type", "language", F.col("crawled_at").cast("timestamp_ntz").alias("crawled_at"))
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url, left(content_md, 600) || CASE WHEN length(content_md) > 600 THEN '…' ELSE '' END AS snippet FROM articles ORDER BY id DESC LIMIT 50")
+def TOP03_latest_snippets(spark, sf_dir):
+    return articles(spark, sf_dir).orderBy(F.desc("id")).limit(50).select("id", "url", sc.snippet(F.col("content_md")).alias("snippet"))
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url, content_md FROM articles WHERE length(content_md) >= 200 AND quality_score >= 0.5 AND language = 'en'")
+def FLT05_corpus_export(spark, sf_dir):
+    return db.corpus(articles(spark, sf_dir), 200, 0.5, "en").select("id", "url", "content_md")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT to_json({{'id': id, 'url': url, 'language': language}}) AS value FROM articles WHERE length(content_md) >= 200")
+def SNK10_corpus_jsonl(spark, sf_dir):
+    return db.as_json(db.corpus(articles(spark, sf_dir)), ["id", "url", "language"])
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, strftime(crawled_at, '%Y-%m-%dT%H:%M:%S') AS crawled FROM articles")
+def FN31_iso_times(spark, sf_dir):
+    return articles(spark, sf_dir).select("id", sc.iso(F.col("crawled_at")).alias("crawled"))
+
+
+# Hashes, fingerprints, duplicates ------------------------------------------------------------------------------------
+
+
+@query("SELECT page_id, sha256(url) AS url_hash FROM pages")
+def FN01_url_hash(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", sc.url_hash(F.col("url")).alias("url_hash"))
+
+
+@query("SELECT page_id, left(sha256(url), 16) || '_' || (page_id % 5) AS chunk_id FROM pages")
+def FN02_chunk_id(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", sc.chunk_id(F.col("url"), F.col("page_id") % 5).alias("chunk_id"))
+
+
+@query(r"SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)) AS host FROM pages")
+def FN28_url_host(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", sc.url_host(F.col("url")).alias("host"))
+
+
+_BITS = ", ".join(f"CASE WHEN sum(CASE WHEN ({'lo' if i < 32 else 'hi'} >> {i % 32}) & 1 = 1 THEN n ELSE -n END) > 0 THEN 1::BIGINT ELSE 0 END AS s{i}" for i in range(64))
+_WORD64 = " + ".join(f"(s{i}::HUGEINT << {i})" for i in range(63))
+SIMHASH_SQL = f"""tok AS (SELECT doc_id AS id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS token FROM documents),
+cnt AS (SELECT id, token, count(*) AS n, md5(token) AS h FROM tok GROUP BY id, token),
+half AS (SELECT id, n, ('0x' || left(h, 8))::BIGINT AS hi, ('0x' || substr(h, 9, 8))::BIGINT AS lo FROM cnt),
+bit AS (SELECT id, {_BITS} FROM half GROUP BY id),
+prints AS (SELECT d.doc_id AS id, coalesce(({_WORD64} - (s63::HUGEINT << 63))::BIGINT, 0) AS simhash FROM documents d LEFT JOIN bit ON bit.id = d.doc_id)"""
+
+
+def prints(spark, sf_dir):
+    return fp.simhash_md5(articles(spark, sf_dir), "id", "content_md")
+
+
+@query(f"WITH {SIMHASH_SQL} SELECT id, simhash FROM prints")
+def AGG15_simhash_md5(spark, sf_dir):
+    return prints(spark, sf_dir)
+
+
+@query(f"WITH {SIMHASH_SQL} SELECT id, b AS band, ((simhash::HUGEINT & 18446744073709551615::HUGEINT) >> (48 - 16 * b)) & 65535 AS bucket FROM prints, (VALUES (0), (1), (2), (3)) t(b)".replace("AS bucket", "AS bucket").replace("SELECT id, b AS band, (", "SELECT id, b::INT AS band, (").replace("& 65535 AS bucket", "& 65535 AS bucket"))
+def FN06_lsh_bands(spark, sf_dir):
+    p = prints(spark, sf_dir)
+    return p.select("id", F.posexplode(F.array(*fp.bands(F.col("simhash")))).alias("band", "bucket"))
+
+
+@query(f"WITH {SIMHASH_SQL}, d AS (SELECT simhash, min(id) AS id FROM prints GROUP BY simhash) SELECT x.id AS a, y.id AS b, bit_count(xor(x.simhash, y.simhash))::INT AS distance FROM d x JOIN d y ON x.id < y.id AND bit_count(xor(x.simhash, y.simhash)) <= 3")
+def JON07_neardup_pairs(spark, sf_dir):
+    return dedup.near_pairs(prints(spark, sf_dir))
+
+
+@query()
+def JON07_neardup_greedy(spark, sf_dir):
+    p = prints(spark, sf_dir)
+    return dedup.greedy_keep(p, dedup.near_pairs(p))
+
+
+@query()
+def FN04_simhash_blake2b(spark, sf_dir):
+    return fp.simhash_blake2b(articles(spark, sf_dir), "id", "content_md").select("id", fp.unsigned(F.col("simhash")).cast("string").alias("content_hash"))
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT min(id) AS id, count(*) AS copies FROM articles GROUP BY content_md")
+def WIN07_exact_dedup(spark, sf_dir):
+    a = articles(spark, sf_dir)
+    kept = a.groupBy(F.sha2("content_md", 256).alias("h")).agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    return kept.select("id", "copies")
+
+
+@query(f"""WITH {ARTICLES_SQL}, store AS (SELECT url_hash FROM articles WHERE id % 3 = 0), new AS (SELECT id, url_hash FROM articles WHERE id % 2 = 0 UNION ALL SELECT id + 1000000, url_hash FROM articles WHERE id % 4 = 0)
+SELECT min(id) AS id, url_hash FROM new WHERE url_hash NOT IN (SELECT url_hash FROM store) GROUP BY url_hash""")
+def SNK02_append_if_absent(spark, sf_dir):
+    a = articles(spark, sf_dir).select("id", "url_hash")
+    new = a.filter("id % 2 = 0").union(a.filter("id % 4 = 0").select((F.col("id") + 1000000).alias("id"), "url_hash"))
+    return dedup.append_if_absent(new, a.filter("id % 3 = 0"), "url_hash", ["id"])
+
+
+@query(f"WITH {SIMHASH_SQL} SELECT id, CASE WHEN id % 3 = 0 THEN -1 ELSE simhash END AS content_hash FROM prints")
+def SNK05_backfill(spark, sf_dir):
+    a = articles(spark, sf_dir).withColumn("content_hash", F.when(F.col("id") % 3 == 0, F.lit(-1).cast("long")))
+    return store.backfill(a, prints(spark, sf_dir)).select("id", "content_hash")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT id, url FROM articles WHERE crawled_at >= TIMESTAMP '2024-01-08 00:00:00' - INTERVAL 7 DAYS AND crawled_at >= TIMESTAMP '2024-01-01 12:00:00' - INTERVAL 0 DAYS")
+def SNK06_prune(spark, sf_dir):
+    a = store.prune(articles(spark, sf_dir), "crawled_at", F.expr("TIMESTAMP '2024-01-08 00:00:00'"), 7)
+    return store.prune(a, "crawled_at", F.expr("TIMESTAMP '2024-01-01 12:00:00'"), 0).select("id", "url")
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT source_type, id FROM (SELECT *, row_number() OVER (PARTITION BY source_type ORDER BY id DESC) AS n FROM articles) WHERE n <= 3")
+def TOP08_keep_newest(spark, sf_dir):
+    return store.keep_newest(articles(spark, sf_dir), "source_type", [F.desc("id")], 3).select("source_type", "id")
+
+
+_OLD, _NEW = "SELECT id, 'old' AS text, id % 5 AS score FROM articles WHERE id % 2 = 0", "SELECT id, 'new' AS text, id % 7 AS score FROM articles WHERE id % 3 = 0"
+
+
+@query(f"WITH {ARTICLES_SQL}, o AS ({_OLD}), n AS ({_NEW}) SELECT coalesce(o.id, n.id) AS id, coalesce(n.text, o.text) AS text, coalesce(o.score, n.score) AS score FROM o FULL JOIN n ON o.id = n.id")
+def SNK03_upsert(spark, sf_dir):
+    a = articles(spark, sf_dir)
+    old = a.filter("id % 2 = 0").select("id", F.lit("old").alias("text"), (F.col("id") % 5).alias("score"))
+    new = a.filter("id % 3 = 0").select("id", F.lit("new").alias("text"), (F.col("id") % 7).alias("score"))
+    return store.upsert(old, new, "id", ["text"])
+
+
+# Counters and monitoring, over events --------------------------------------------------------------------------------
+
+OUTCOMES_SQL = """outcomes AS (
+  SELECT event_id, ts, concat('src', user_id % 6) AS source_type,
+         CASE event_id % 8 WHEN 0 THEN 'spam' WHEN 1 THEN 'lang' WHEN 2 THEN 'dup' WHEN 3 THEN 'too_short' WHEN 4 THEN 'not_found' ELSE 'stored' END AS outcome FROM events)"""
+_REJ = ", ".join(f"'{x}'" for x in monitor.BY_SOURCE)
+
+
+def outcomes(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id") % 8
+    o = F.when(k == 0, "spam").when(k == 1, "lang").when(k == 2, "dup").when(k == 3, "too_short").when(k == 4, "not_found").otherwise("stored")
+    return e.select("event_id", "ts", F.concat(F.lit("src"), (F.col("user_id") % 6).cast("string")).alias("source_type"), o.alias("outcome"))
+
+
+@query(f"WITH {OUTCOMES_SQL} SELECT outcome, count(*) AS n FROM outcomes WHERE outcome <> 'stored' GROUP BY outcome")
+def AGG07_rejected_by_reason(spark, sf_dir):
+    return monitor.by_reason(outcomes(spark, sf_dir))
+
+
+@query(f"WITH {OUTCOMES_SQL} SELECT source_type, count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome IN ({_REJ})) AS rejected FROM outcomes GROUP BY source_type")
+def AGG08_counts_by_source(spark, sf_dir):
+    return monitor.by_source(outcomes(spark, sf_dir))
+
+
+@query(f"""WITH {OUTCOMES_SQL} SELECT count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome <> 'stored') AS rejected,
+(SELECT string_agg(source_type || '=' || n, ',' ORDER BY source_type) FROM (SELECT source_type, count(*) AS n FROM outcomes GROUP BY 1)) AS produced_by_source,
+(SELECT string_agg(outcome || '=' || n, ',' ORDER BY outcome) FROM (SELECT outcome, count(*) AS n FROM outcomes WHERE outcome <> 'stored' GROUP BY 1)) AS rejected_by_reason FROM outcomes""")
+def AGG20_counters(spark, sf_dir):
+    flat = lambda c: F.concat_ws(",", F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))))
+    c = monitor.counters(outcomes(spark, sf_dir))
+    return c.select("produced", "stored", "rejected", flat("produced_by_source").alias("produced_by_source"), flat("rejected_by_reason").alias("rejected_by_reason"))
+
+
+@query(f"""WITH {OUTCOMES_SQL}, s AS (SELECT source_type AS source, count(*) AS stored FROM outcomes WHERE outcome = 'stored' AND source_type <> 'src1' GROUP BY 1), r AS (SELECT source_type AS source, count(*) AS rejected FROM outcomes WHERE outcome = 'spam' AND source_type <> 'src2' GROUP BY 1)
+SELECT coalesce(s.source, r.source) AS source, coalesce(stored, 0) AS stored, coalesce(rejected, 0) AS rejected FROM s FULL JOIN r ON s.source = r.source""")
+def JON11_stored_and_rejected(spark, sf_dir):
+    o = outcomes(spark, sf_dir)
+    s = o.filter("outcome = 'stored' AND source_type <> 'src1'").groupBy("source_type").agg(F.count("*").alias("n"))
+    r = o.filter("outcome = 'spam' AND source_type <> 'src2'").groupBy("source_type").agg(F.count("*").alias("n"))
+    return monitor.stored_and_rejected(s, r)
+
+
+HOURS_SQL = f"""{OUTCOMES_SQL}, hourly AS (SELECT date_trunc('hour', ts) AS taken_at, count(*) AS p, count(*) FILTER (outcome = 'stored') AS s FROM outcomes GROUP BY 1),
+snapshots AS (SELECT taken_at, (sum(p) OVER w)::BIGINT AS produced, (sum(s) OVER w)::BIGINT AS stored FROM hourly WINDOW w AS (ORDER BY taken_at))"""
+
+
+def snapshots(spark, sf_dir):
+    from pyspark.sql import Window
+
+    w = Window.orderBy("taken_at")
+    h = outcomes(spark, sf_dir).groupBy(F.date_trunc("hour", "ts").alias("taken_at")).agg(F.count("*").alias("p"), F.count_if(F.col("outcome") == "stored").alias("s"))
+    return h.select("taken_at", F.sum("p").over(w).alias("produced"), F.sum("s").over(w).alias("stored"))
+
+
+def _naive(df, *cols):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
+
+
+@query(f"WITH {HOURS_SQL} SELECT taken_at, greatest(0, produced - lag(produced, 1, produced) OVER (ORDER BY taken_at))::BIGINT AS produced_delta, greatest(0, stored - lag(stored, 1, stored) OVER (ORDER BY taken_at))::BIGINT AS stored_delta FROM snapshots")
+def WIN01_snapshot_deltas(spark, sf_dir):
+    return _naive(monitor.snapshot_deltas(snapshots(spark, sf_dir)), "taken_at")
+
+
+SAMPLES_SQL = f"""{OUTCOMES_SQL}, samples AS (SELECT date_trunc('hour', ts) AS taken_at, source_type AS source, count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome IN ({_REJ})) AS rejected FROM outcomes WHERE event_id % 5 = 0 GROUP BY ALL),
+t AS (SELECT taken_at, lag(taken_at) OVER (ORDER BY taken_at) AS prev FROM (SELECT DISTINCT taken_at FROM samples)),
+keys AS (SELECT t.taken_at, t.prev, s.source FROM t JOIN samples s ON s.taken_at = t.taken_at UNION SELECT t.taken_at, t.prev, s.source FROM t JOIN samples s ON s.taken_at = t.prev),
+deltas AS (SELECT k.taken_at, k.source, {", ".join(f"CASE WHEN k.prev IS NULL THEN 0 ELSE greatest(0, coalesce(c.{x}, 0) - coalesce(p.{x}, 0)) END::BIGINT AS {x}_delta" for x in ("produced", "stored", "rejected"))}
+  FROM keys k LEFT JOIN samples c ON c.taken_at = k.taken_at AND c.source = k.source LEFT JOIN samples p ON p.taken_at = k.prev AND p.source = k.source)"""
+
+
+def source_deltas(spark, sf_dir):
+    o = outcomes(spark, sf_dir).filter("event_id % 5 = 0")
+    s = o.groupBy(F.date_trunc("hour", "ts").alias("taken_at"), F.col("source_type").alias("source")).agg(F.count("*").alias("produced"), F.count_if(F.col("outcome") == "stored").alias("stored"), F.count_if(F.col("outcome").isin(*monitor.BY_SOURCE)).alias("rejected"))
+    return monitor.source_deltas(s)
+
+
+@query(f"WITH {SAMPLES_SQL} SELECT * FROM deltas")
+def WIN02_source_deltas(spark, sf_dir):
+    return _naive(source_deltas(spark, sf_dir), "taken_at")
+
+
+@query(f"WITH {SAMPLES_SQL} SELECT time_bucket(INTERVAL 5 MINUTES, taken_at) AS bucket, " + ", ".join(f"coalesce(sum(produced_delta) FILTER (source = 'src{i}'), 0)::BIGINT AS src{i}" for i in range(6)) + " FROM deltas GROUP BY 1")
+def AGG18_activity_5min(spark, sf_dir):
+    return _naive(monitor.activity(source_deltas(spark, sf_dir), [f"src{i}" for i in range(6)]), "bucket")
+
+
+@query("SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY ALL")
+def STR10_tumbling_counts(spark, sf_dir):
+    from ..streaming.ingest import windowed_counts
+
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return _naive(windowed_counts(e, "ts", "event_type"), "bucket")
+
+
+RUNS_SQL = """runs AS (SELECT concat('src', user_id % 6) AS source, ts AS finished_at, event_id % 9 AS pages, event_id % 40 AS published FROM events WHERE event_id % 10 = 0)"""
+EVENTS_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+LIMITS = {"src0": 120, "src1": 300, "src2": 100000}
+
+
+def runs(spark, sf_dir):
+    e = table(spark, sf_dir, "events").filter("event_id % 10 = 0")
+    return e.select(F.concat(F.lit("src"), (F.col("user_id") % 6).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("finished_at"), (F.col("event_id") % 9).alias("pages"), (F.col("event_id") % 40).alias("published"))
+
+
+STATUS_SQL = f"""{RUNS_SQL}, last AS (SELECT source, max(finished_at) AS finished_at, arg_max(pages, finished_at) AS pages, arg_max(published, finished_at) AS published FROM runs GROUP BY source),
+lim(source, m) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in LIMITS.items())}),
+status AS (SELECT l.source, finished_at, pages, published, coalesce(m, 180)::INT AS stale_after_minutes, (epoch({EVENTS_AS_OF}) - epoch(finished_at)) / 60 AS age FROM last l LEFT JOIN lim USING (source))"""
+
+
+@query(f"WITH {STATUS_SQL} SELECT source, finished_at, pages, published, stale_after_minutes, round(age, 1) AS age_minutes, CASE WHEN age <= stale_after_minutes THEN 'ok' ELSE 'stale' END AS status FROM status")
+def JON10_run_status(spark, sf_dir):
+    return _naive(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS), "finished_at")
+
+
+@query(f"WITH {STATUS_SQL} SELECT string_agg(source, ',' ORDER BY source) FILTER (age > stale_after_minutes) AS stale, CASE WHEN count(*) FILTER (age > stale_after_minutes) > 0 THEN 'stale' ELSE 'ok' END AS status FROM status")
+def AGG21_overall_status(spark, sf_dir):
+    o = monitor.overall(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS))
+    return o.select(F.concat_ws(",", "stale").alias("stale"), "status")
+
+
+@query("SELECT event_type AS source_type, max(ts) AS cursor FROM events GROUP BY 1")
+def AGG11_cursors(spark, sf_dir):
+    return monitor.cursors(table(spark, sf_dir, "events").select(F.col("event_type").alias("source_type"), F.col("ts").alias("published_at")))
+
+
+@query("WITH c AS (SELECT event_type, max(ts) AS cursor FROM events WHERE event_id % 2 = 0 GROUP BY 1) SELECT event_id, e.event_type FROM events e JOIN c USING (event_type) WHERE ts >= greatest(TIMESTAMP '2024-01-05 00:00:00', cursor - INTERVAL 5 MINUTES)")
+def FN29_cursor_window(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    c = e.filter("event_id % 2 = 0").groupBy("event_type").agg(F.max("ts").alias("cursor"))
+    start = sc.window_start(F.expr("TIMESTAMP_NTZ '2024-01-05 00:00:00'"), F.col("cursor"))
+    return e.join(c, "event_type").filter(F.col("ts") >= start).select("event_id", "event_type")
+
+
+@query("SELECT concat('src', user_id % 6) AS source, count(*) AS pages, sum(event_id % 7)::BIGINT AS published, sum(event_id % 2)::BIGINT AS publish_errors, count(*) FILTER (event_id % 11 = 0) AS failed_pages FROM events GROUP BY 1")
+def AGG12_run_summary(spark, sf_dir):
+    p = table(spark, sf_dir, "events").select(F.concat(F.lit("src"), (F.col("user_id") % 6).cast("string")).alias("source"), (F.col("event_id") % 7).alias("published"), (F.col("event_id") % 2).alias("publish_errors"), (F.col("event_id") % 11 == 0).alias("failed"))
+    return monitor.run_summary(p)
+
+
+@query("SELECT event_id, CASE WHEN s = 200 THEN 'ok' WHEN s IN (404, 410) THEN 'gone' WHEN s IN (403, 429) OR s >= 500 THEN 'retry' ELSE 'fail' END AS outcome FROM (SELECT event_id, [200, 404, 410, 403, 429, 500, 503, 301][event_id % 8 + 1] AS s FROM events)")
+def FN23_fetch_outcome(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    status = F.element_at(F.array(*map(F.lit, (200, 404, 410, 403, 429, 500, 503, 301))), (F.col("event_id") % 8 + 1).cast("int"))
+    return e.select("event_id", sc.fetch_outcome(status).alias("outcome"))
+
+
+# Questions and answers, over conversations ---------------------------------------------------------------------------
+
+ANSWERS_SQL = "answers AS (SELECT conv_id AS question_id, turn AS pos, (turn * 7 + conv_id) % 11 - 3 AS score, (turn + conv_id) % 6 = 0 AS accepted, text AS body FROM conversations WHERE role = 'assistant')"
+BEST_SQL = f"{ANSWERS_SQL}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY accepted DESC, CASE WHEN accepted THEN NULL ELSE -score END, pos) AS n FROM answers WHERE accepted OR score > 0) WHERE n = 1)"
+TRIM = "chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
+QA_SQL = f"""{BEST_SQL}, q AS (SELECT conv_id, arg_min(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id),
+qa AS (SELECT conv_id AS id, concat('Question ', conv_id % 40) AS title, question, body, concat('# Question ', conv_id % 40, chr(10), chr(10), trim(question, {TRIM}), chr(10),
+  CASE WHEN trim(coalesce(body, ''), {TRIM}) <> '' THEN concat(chr(10), '## Top answer', chr(10), chr(10), trim(body, {TRIM}), chr(10)) ELSE '' END) AS content_md, (conv_id % 10) / 10.0::DOUBLE AS quality_score
+  FROM q LEFT JOIN best ON question_id = conv_id WHERE trim(question, {TRIM}) <> '')"""
+
+
+def answers(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations").filter("role = 'assistant'")
+    return c.select(F.col("conv_id").alias("question_id"), F.col("turn").alias("pos"), ((F.col("turn") * 7 + F.col("conv_id")) % 11 - 3).alias("score"), ((F.col("turn") + F.col("conv_id")) % 6 == 0).alias("accepted"), F.col("text").alias("body"))
+
+
+def qa_docs(spark, sf_dir):
+    q = table(spark, sf_dir, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("question"))
+    best = qa.best_answers(answers(spark, sf_dir)).select(F.col("question_id").alias("conv_id"), "body")
+    title = F.concat(F.lit("Question "), (F.col("conv_id") % 40).cast("string"))
+    d = q.join(best, "conv_id", "left").select(F.col("conv_id").alias("id"), qa.compose(title, F.col("question"), F.col("body")).alias("content_md"), ((F.col("conv_id") % 10) / F.lit(10.0)).alias("quality_score"))
+    return d.filter("content_md IS NOT NULL").withColumns({"url": F.concat(F.lit("https://qa.example.com/"), F.col("id").cast("string")), "tags": F.lit(None).cast("array<string>"), "source_type": F.lit("stackexchange")})
+
+
+@query(f"WITH {BEST_SQL} SELECT question_id, pos, score, accepted FROM best")
+def WIN04_best_answer(spark, sf_dir):
+    return qa.best_answers(answers(spark, sf_dir)).select("question_id", "pos", "score", "accepted")
+
+
+@query(f"WITH {ANSWERS_SQL}, q AS (SELECT DISTINCT conv_id AS question_id FROM conversations) SELECT q.question_id, count(pos) AS n, coalesce(string_agg(pos::VARCHAR, ',' ORDER BY pos), '') AS at FROM q LEFT JOIN answers a USING (question_id) GROUP BY 1")
+def JON06_answers_by_question(spark, sf_dir):
+    q = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("question_id")).distinct()
+    own = qa.answers_by_question(q, answers(spark, sf_dir).withColumn("answer_id", F.col("pos")))
+    pos = F.coalesce(F.transform("answers", lambda a: a["pos"].cast("string")), F.array().cast("array<string>"))
+    return own.select("question_id", F.size(pos).cast("long").alias("n"), F.concat_ws(",", pos).alias("at"))
+
+
+@query(f"WITH {QA_SQL} SELECT id, content_md FROM qa")
+def FN21_qa_compose(spark, sf_dir):
+    return qa_docs(spark, sf_dir).select("id", "content_md")
+
+
+PAIRS_SQL = f"""{QA_SQL}, parsed AS (SELECT id, title, trim(question, {TRIM}) AS question, trim(body, {TRIM}) AS answer, quality_score FROM qa WHERE length(trim(body, {TRIM})) >= 100 AND quality_score >= 0.2),
+pairs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(title) ORDER BY quality_score DESC NULLS LAST, id) AS n FROM parsed) WHERE n = 1)"""
+
+
+@query(f"WITH {PAIRS_SQL} SELECT id, title, question, answer FROM pairs")
+def WIN03_sft_pairs(spark, sf_dir):
+    return qa.pairs(qa_docs(spark, sf_dir), 0.2, 100).select("id", "title", "question", "answer")
+
+
+@query(f"WITH {PAIRS_SQL} SELECT title AS instruction, question AS input, answer AS output, concat('https://qa.example.com/', id) AS url, 0 AS n_tags FROM pairs")
+def FN39_alpaca(spark, sf_dir):
+    return qa.alpaca(qa.pairs(qa_docs(spark, sf_dir), 0.2, 100)).select("instruction", "input", "output", "url", F.size("tags").alias("n_tags"))
+
+
+@query(f"WITH {PAIRS_SQL} SELECT concat('https://qa.example.com/', id) AS url, concat(title, chr(10), chr(10), question) AS human, answer AS gpt FROM pairs")
+def SNK11_sharegpt(spark, sf_dir):
+    s = qa.sharegpt(qa.pairs(qa_docs(spark, sf_dir), 0.2, 100))
+    return s.select("url", F.col("conversations")[0]["value"].alias("human"), F.col("conversations")[1]["value"].alias("gpt"))
+
+
+# Chunks, vectors -----------------------------------------------------------------------------------------------------
+
+
+def _chunk_articles(spark, sf_dir):
+    a = articles_ext(spark, sf_dir)
+    return a.withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
+
+
+@query()
+def FN19_chunks(spark, sf_dir):
+    return rag.chunks(_chunk_articles(spark, sf_dir))
+
+
+_BLANK = r"^[ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+$"
+
+
+@query(f"WITH {ARTICLES_SQL} SELECT left(sha256(url), 16) || '_0' AS chunk_id, id AS article_id, 1 AS n_chunks, trim(content_md, {TRIM}) AS text FROM articles WHERE id > 100 AND length(trim(content_md, {TRIM})) BETWEEN 30 AND 1200")
+def WIN05_single_chunks(spark, sf_dir):
+    """Incremental export (FLT09) of articles that are one chunk."""
+    a = articles(spark, sf_dir).withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
+    short = a.filter(F.length(qa.trimmed(F.col("content_md"))) <= 1200)
+    return rag.chunks(short, after_id=100).select("chunk_id", "article_id", "n_chunks", "text")
+
+
+VECTORS_SQL = "vectors AS (SELECT concat('c', vec_id) AS chunk_id, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)"
+
+
+def vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(F.concat(F.lit("c"), F.col("vec_id").cast("string")).alias("chunk_id"), "vec_id", "label", "embedding")
+
+
+def _query_vector(spark, sf_dir):
+    return list(vectors(spark, sf_dir).filter("vec_id = 7").first()["embedding"])
+
+
+@query(f"WITH {VECTORS_SQL} SELECT chunk_id, vec_id, label, round(list_cosine_similarity(e, (SELECT e FROM vectors WHERE vec_id = 7)), 4) AS score FROM vectors ORDER BY score DESC, chunk_id LIMIT 8")
+def TOP02_vector_topk(spark, sf_dir):
+    return db.top_k(vectors(spark, sf_dir), _query_vector(spark, sf_dir), 8)
+
+
+@query(f"WITH {VECTORS_SQL} SELECT chunk_id, vec_id, label, round(list_cosine_similarity(e, (SELECT e FROM vectors WHERE vec_id = 7)), 4) AS score FROM vectors WHERE label = 3 AND vec_id >= 20 ORDER BY score DESC, chunk_id LIMIT 5")
+def FLT07_vector_topk_filtered(spark, sf_dir):
+    return db.top_k(vectors(spark, sf_dir), _query_vector(spark, sf_dir), 5, (F.col("label") == 3) & (F.col("vec_id") >= 20))
+
+
+@query(f"WITH {VECTORS_SQL}, c AS (SELECT concat('c', doc_id) AS chunk_id, length(text) AS n FROM documents WHERE doc_id % 2 = 0) SELECT chunk_id, n, vec_id FROM c JOIN vectors USING (chunk_id)")
+def JON04_vector_join(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0")
+    c = d.select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"), F.length("text").alias("n"))
+    twice = c.withColumn("line", F.lit(1)).union(c.select("chunk_id", F.lit(0), F.lit(0)))  # an earlier line of each
+    return rag.with_vectors(twice, vectors(spark, sf_dir), ["line"]).select("chunk_id", "n", "vec_id")
+
+
+@query("SELECT concat('c', doc_id) AS chunk_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)")
+def JON03_embed_todo(spark, sf_dir):
+    c = table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"))
+    return rag.to_embed(c, vectors(spark, sf_dir))
+
+
+@query()
+def EXT01_embed(spark, sf_dir):
+    c = articles(spark, sf_dir).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("chunk_id"), F.col("content_md").alias("text"))
+    return rag.embed(c)
+
+
+@query("SELECT coalesce(max(doc_id), 0) AS last_id FROM documents")
+def AGG06_last_article(spark, sf_dir):
+    return rag.last_article(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id")))
+
+
+# Extraction, language, streams ---------------------------------------------------------------------------------------
+
+
+@query()
+def FN15_html_extract(spark, sf_dir):
+    from ..functions.markdown import extract_content
+
+    return table(spark, sf_dir, "pages").select("page_id", extract_content("html").alias("content_md"))
+
+
+@query()
+def FN16_lang_detect(spark, sf_dir):
+    return language.with_language(articles(spark, sf_dir), "content_md", "detected").select("id", "language", "detected")
+
+
+@query("SELECT page_id, CASE WHEN page_id % 5 = 1 THEN 'not_found' WHEN page_id % 5 = 2 THEN 'retry' ELSE 'ok' END AS outcome FROM pages WHERE page_id % 5 < 4 OR html IS NOT NULL")
+def JON09_route(spark, sf_dir):
+    from ..sources.adapters import route
+
+    p = table(spark, sf_dir, "pages")
+    messages = p.select("page_id", F.concat(F.lit("u"), F.col("page_id").cast("string")).alias("url"), F.when(F.col("page_id") % 5 == 0, "inline text").alias("content_md"))
+    k = F.col("page_id") % 5
+    fetched = p.filter(~k.isin(0, 2)).select(F.concat(F.lit("u"), F.col("page_id").cast("string")).alias("url"), F.when(k == 1, 404).otherwise(200).alias("status"), "html")
+    return route(messages, fetched).select("page_id", "outcome")
+
+
+@query("SELECT min(doc_id) AS msg_id, source FROM documents GROUP BY source")
+def STR03_stateful_dedup(spark, sf_dir):
+    """First message of each key; run as a batch here (the stream's own form is tested with availableNow)."""
+    d = table(spark, sf_dir, "documents")
+    return dedup.first_wins(d.select(F.col("doc_id").alias("msg_id"), "source"), ["source"], ["msg_id"])
+
+
+DLQ_SQL = "letters AS (SELECT lpad(doc_id::VARCHAR, 9, '0') AS stream_msg_id, text AS article FROM documents WHERE doc_id % 9 = 0)"
+
+
+@query(f"WITH {DLQ_SQL} SELECT stream_msg_id, article AS value FROM letters ORDER BY stream_msg_id LIMIT 20")
+def SNK09_dlq_replay(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").filter("doc_id % 9 = 0")
+    return store.replay(d.select(F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("stream_msg_id"), F.col("text").alias("article")), 20)
+
+
+@query("SELECT lpad(doc_id::VARCHAR, 9, '0') AS stream_msg_id, left(text, 500) AS detail, text AS article FROM documents WHERE doc_id % 3 = 0 AND doc_id % 9 <> 0")
+def SNK08_dead_letters(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").withColumn("stream_msg_id", F.lpad(F.col("doc_id").cast("string"), 9, "0"))
+    failed = d.filter("doc_id % 3 = 0").select("stream_msg_id", F.lit("u").alias("url"), F.lit("t").alias("title"), F.lit("fetch").alias("reason"), F.col("text").alias("detail"), F.col("text").alias("article"))
+    return store.dead_letters(failed.union(failed), d.filter("doc_id % 9 = 0"), as_of()).select("stream_msg_id", "detail", "article")
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events WHERE json_valid(props) AND json_extract(props, '$.k') IS NOT NULL")
+def FLT01_message_parse(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("m", F.from_json("props", "k BIGINT"))
+    return e.filter("m.k IS NOT NULL").select("event_id", "m.k")
+
+
+@query("SELECT source, lang FROM documents WHERE lang = 'en' UNION SELECT source, lang FROM documents WHERE doc_id % 2 = 0")
+def SET01_key_union(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.filter("lang = 'en'").select("source", "lang").union(d.filter("doc_id % 2 = 0").select("source", "lang")).distinct()
