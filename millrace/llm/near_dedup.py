@@ -4,8 +4,8 @@ A document's set holds its distinct runs of ``words`` words (A-Z lower-cased; wi
 with one and the same set are one node. Each node has ``BANDS * ROWS`` registers: the least value of a hash function over the
 set, kept as its number of leading zeros and ten mantissa bits. Nodes that agree in all registers of a band share a bucket.
 
-In a bucket all members are compared with one hub, not with each other: first the estimate from the registers (corrected for
-colliding registers) drops what is clearly too far, then the full sets are compared. The links found make components.
+In a bucket all members are compared with one hub, not with each other: first an estimate from the last bit of each register
+(corrected for bits that agree by chance) drops what is clearly too far, then the full sets are compared. Links make components.
 A bucket all of whose members are in one component is done. In the others, members outside the bucket's largest component
 are compared with further hubs of it, and at last each of them with every member of another component in its bucket, so that
 no link within a bucket is left out. Two documents of similarity 0.8 share no bucket with a probability of 1.3e-7, less above.
@@ -30,11 +30,14 @@ from .common import small_batches, snapshot, whole_text
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
 REGISTERS = BANDS * ROWS
-#: Registers of different minima agree as often as this.
-COLLIDE = 1 / (3 * 2**MANTISSA)
-#: Estimates this far below the threshold are not compared (a pair at the threshold falls there once in 1e9).
-SLACK = 0.2
+#: The last bits of registers of different minima agree as often as this.
+COLLIDE = 0.5
+#: Estimates this far below the threshold are not compared (six standard deviations for a pair at 0.8).
+SLACK = 0.25
+SKETCH = ["s0", "s1", "s2", "s3"]
 HUB_ROUNDS = 3
+#: Outsiders meet all of their bucket at once if that makes at most so many pairs a member; else further hubs come first.
+MEETINGS = 8
 #: Up to this many ids (8 bytes each) are broadcast to pick texts out; more go by a shuffle.
 BROADCAST_IDS = 500_000
 _SEEDS = np.random.default_rng(20240501).integers(0, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -81,27 +84,48 @@ def registers(shingles: np.ndarray) -> np.ndarray:
     return (zeros << np.uint16(MANTISSA)) | mantissa
 
 
-def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard estimates of rows of registers."""
-    return ((a == b).mean(axis=1) - COLLIDE) / (1 - COLLIDE)
+def sketch(r: np.ndarray) -> list[int]:
+    """The registers' last bits in four 64-bit integers."""
+    bits = np.zeros(256, np.uint8)
+    bits[: len(r)] = r & np.uint16(1)
+    return np.packbits(bits).view(np.int64).tolist()
+
+
+def band_keys(r: np.ndarray) -> np.ndarray:
+    """A 64-bit key for each band's number and registers."""
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in r.reshape(BANDS, ROWS).T:
+        key = pretok.mix(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64))
+    return key.view(np.int64)
+
+
+def may_link(least: float, of: str = "", other: str = "o"):
+    """Whether sizes and sketches of two nodes (columns n, s0.. and on, with suffixes) allow this similarity."""
+    n, m = F.col(f"n{of}"), F.col(f"n{other}")
+    apart = sum((F.bit_count(F.col(f"{c}{of}").bitwiseXOR(F.col(f"{c}{other}"))) for c in SKETCH), F.lit(0))
+    estimate = (1 - apart / REGISTERS - COLLIDE) / (1 - COLLIDE)
+    return (F.least(n, m) >= (least + SLACK) * F.greatest(n, m) - 1e-6) & (estimate >= least)
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, digest (of the whole set), sig (the registers)."""
+    """doc_id, n_shingles, digest (of the whole set), bands (keys), s0 to s3 (the sketch)."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, digest, sig = [], [], []
+            n, digest, bands, bits = [], [], [], []
             for part in slices(b.column(1).to_pylist()):
                 for s in shingle_sets(part, words):
+                    r = registers(s) if len(s) else None
                     n.append(len(s))
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                    sig.append(registers(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "sig"])
+                    bands.append(band_keys(r) if len(s) else None)
+                    bits.append(sketch(r) if len(s) else [None] * 4)
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *[pa.array([x[k] for x in bits], pa.int64()) for k in range(4)]]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "digest", "bands", *SKETCH])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t")).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, digest binary, sig binary")
+    return docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("t")).mapInArrow(run, f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH))
 
 
 def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
@@ -116,21 +140,12 @@ def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("node"), whole_text(text_col).alias("t")).mapInArrow(run, f"node {kind}, shingles binary")
 
 
-def _keep_near(pairs: DataFrame, sigs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) whose registers don't rule the similarity out."""
-    kind = pairs.schema["a"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(estimate(x, y) >= least))
-
-    s = sigs.select("node", "sig", "n_shingles")
-    both = pairs.join(s.toDF("a", "sa", "na"), "a").join(s.toDF("b", "sb", "nb"), "b")
-    both = both.filter((100 * F.least("na", "nb") >= 100 * least * F.greatest("na", "nb")))
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
+def _keep_near(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) that their sizes and sketches don't rule out."""
+    x = nodes.select("node", "n", *SKETCH)
+    for side in ("a", "b"):
+        pairs = pairs.join(x.toDF(side, *[f"{c}{side}" for c in ("n", *SKETCH)]), side)
+    return pairs.filter(may_link(least, "a", "b")).select("a", "b")
 
 
 def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -157,78 +172,94 @@ def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col
     return full.select("a", "b", "xa", "xb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_levels: int = 60) -> DataFrame:
     """node, label: the least node reachable, for all nodes of the edges (a, b).
 
-    Each round takes the least label of the neighbours and then the label's own label; each is a join and a grouping with a
-    combined shuffle, and nothing is collected. Labels are written to the shared folder every round.
+    Each level maps every node to the first of itself and its neighbours, rewrites the edges to what their ends are mapped to
+    and goes on with those that aren't loops; stars are done after one level. The first levels take the least node as first;
+    later ones the least hash, under which the nodes fall by a constant factor on any graph (chains too). Groupings are
+    combined before their shuffle, nothing is collected, and each level is written to the shared folder.
     """
-    both = snapshot(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = snapshot(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")))
-    for _ in range(most_rounds):
-        near = both.join(labels.toDF("b", "l"), "b").groupBy("a").agg(F.min("l").alias("l"))
-        own = labels.join(near.toDF("node", "l"), "node").select("node", "label", F.least("label", "l").alias("new"))
-        jump = labels.select(F.col("node").alias("new"), F.col("label").alias("up"))
-        after = snapshot(own.join(jump, "new", "left").select("node", F.least("new", F.coalesce("up", "new")).alias("label"), (F.least("new", F.coalesce("up", "new")) != F.col("label")).alias("moved")))
-        moved = after.filter("moved").limit(1).count()
-        labels = after.select("node", "label")
-        if not moved:
+    maps, rest, hashed = [], edges.select("a", "b"), False
+    for level in range(most_levels):
+        hashed = level >= 3
+        both = rest.unionByName(rest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        if hashed:
+            first = F.min(F.struct(F.xxhash64("b", F.lit(level)).alias("h"), F.col("b").alias("x")))
+            own = F.struct(F.xxhash64("a", F.lit(level)).alias("h"), F.col("a").alias("x"))
+            to = both.groupBy("a").agg(first.alias("f")).select("a", F.least(own, "f")["x"].alias("m"))
+        else:
+            to = both.groupBy("a").agg(F.min("b").alias("f")).select("a", F.least("a", "f").alias("m"))
+        to = snapshot(to)
+        maps.append(to)
+        rest = rest.join(to, "a").select(F.col("m").alias("x"), "b").join(to.toDF("b", "n"), "b").filter("x <> n")
+        rest = snapshot(rest.select(F.least("x", "n").alias("a"), F.greatest("x", "n").alias("b")).distinct())
+        if not rest.limit(1).count():
             break
-    return labels
+    labels = maps[-1].toDF("node", "label")
+    for to in maps[-2::-1]:
+        labels = to.join(labels.toDF("m", "l"), "m", "left").select(F.col("a").alias("node"), F.coalesce("l", "m").alias("label"))
+    if len(maps) > 3:  # the last ones' labels are any node of their component
+        least = labels.groupBy("label").agg(F.min("node").alias("least"))
+        labels = labels.join(least, "label").select("node", F.least("label", "least").alias("label"))
+    return snapshot(labels)
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """key, node, label of every member of a bucket."""
-    return members.join(components(links), "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links: components of the labels that the links join, not of all nodes again."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = snapshot(labels.join(ends, "node", "full_outer").select("node", F.coalesce("label", "node").alias("label")))
+    up = links.join(known.toDF("a", "x"), "a").select("x", "b").join(known.toDF("b", "y"), "b").filter("x <> y")
+    joined = components(up.select(F.col("x").alias("a"), F.col("y").alias("b"))).toDF("label", "new")
+    return snapshot(known.join(joined, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
 
 
 def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
     rows = snapshot(signatures(docs, words, id_col, text_col))
-    some = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    nodes = snapshot(some.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")))
     least = percent / 100 - SLACK
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    buckets = nodes.select("node", F.explode(band).alias("key"))
+    some = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    nodes = snapshot(some.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("bands", *SKETCH)], F.first("n_shingles").alias("n")))
+    buckets = nodes.select("node", F.explode("bands").alias("key"))
     hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
     members = snapshot(buckets.join(hubs, "key").select("key", "node", "hub"))
-    pairs = members.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = _find(pairs, nodes, docs, least, words, percent, id_col, text_col)
-    tried = snapshot(pairs)
-    left = members
-    for turn in range(HUB_ROUNDS + 1):
-        labelled = _labelled(left.select("key", "node"), links)
-        sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count("*").alias("k"), F.sum("n").alias("size"))
-        # Two members of two components are the hub and one other: already compared.
-        main = main.filter("k > 1").select("key", F.col("m.label").alias("main"))
-        left = snapshot(labelled.join(main, "key").select("key", "node", "label", "main"))
-        if not left.limit(1).count():
+    star = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    find = lambda near: _confirm(snapshot(near), docs, words, percent, id_col, text_col)
+    labels = components(snapshot(find(_keep_near(star, nodes, least))))
+    turn = 0
+    while True:
+        known = nodes.select("node", "n", *SKETCH).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = members.select("key", "node").join(known, "node")
+        sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("k"))
+        main = sizes.groupBy("key").agg(F.max(F.struct("k", "label")).alias("m"), F.count("*").alias("labels"), F.sum("k").alias("size"))
+        # Of a bucket of two the only pair has been compared.
+        main = main.filter("labels > 1 AND size > 2").select("key", F.col("m.label").alias("main"), "size")
+        left = snapshot(labelled.join(main, "key"))
+        work = left.agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") != F.col("main"), F.col("size"))).alias("meetings")).first()
+        if not work["n"]:
             break
-        outside = left.filter("label != main")
-        if turn < HUB_ROUNDS:
-            order = F.struct(F.xxhash64("node", F.lit(turn)), "node")
-            hub = left.filter("label = main").groupBy("key").agg(F.min(order).alias("h")).select("key", F.col("h.node").alias("hub"))
-            pairs = outside.join(hub, "key").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-        else:
-            other = left.select("key", F.col("node").alias("o"), F.col("label").alias("ol"), "main")
-            met = outside.join(other.drop("main"), "key").filter("label != ol")
-            pairs = met.select(F.least("o", "node").alias("a"), F.greatest("o", "node").alias("b"))
-        pairs = snapshot(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
-        links = snapshot(links.unionByName(_find(pairs, nodes, docs, least, words, percent, id_col, text_col)))
-        tried = tried.unionByName(pairs)
-    labels = components(links)
+        outside = left.filter("label <> main").drop("size")
+        last = work["meetings"] <= MEETINGS * work["n"] or turn == HUB_ROUNDS
+        if last:
+            other = left.select("key", *[F.col(c).alias(f"{c}o") for c in ("node", "label", "n", *SKETCH)])
+        else:  # most of them join the main component through one of its other members
+            order = F.struct(F.xxhash64("node", F.lit(turn)), *[F.col(c) for c in ("node", "label", "n", *SKETCH)])
+            hub = left.filter("label = main").groupBy("key").agg(F.min(order).alias("h"))
+            other = hub.select("key", *[F.col(f"h.{c}").alias(f"{c}o") for c in ("node", "label", "n", *SKETCH)])
+        met = outside.join(other, (outside["key"] == other["key"]) & (F.col("label") != F.col("labelo")) & may_link(least))
+        near = met.select(F.least("node", "nodeo").alias("a"), F.greatest("node", "nodeo").alias("b")).distinct()
+        links = snapshot(find(near))
+        if links.limit(1).count():
+            labels = _relabel(labels, links)
+        if last:
+            break
+        turn += 1
     found = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _find(pairs, nodes, docs, least, words, percent, id_col, text_col) -> DataFrame:
-    near = snapshot(_keep_near(pairs, nodes, least))
-    return snapshot(_confirm(near, docs, words, percent, id_col, text_col))
-
-
 def keep_first(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs of the least id of each group, whole; of rows with one id one stays, rows without an id all do."""
     kept = near_groups(docs, words, percent, id_col, text_col).filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col))

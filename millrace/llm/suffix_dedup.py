@@ -22,6 +22,7 @@ other and get the same result. Extra columns are left out.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +41,11 @@ PACK_BYTES = 4_000_000
 #: Hashes, and suffixes, that one range of an exchange holds on average.
 HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 100_000
 NO_ID = 2**63 - 1
+_ZSTD = pa.Codec("zstd", compression_level=6)
 
 
 def _squeeze(data: bytes) -> bytes:
-    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+    return len(data).to_bytes(8, "little") + _ZSTD.compress(data, asbytes=True)
 
 
 def _swell(data: bytes) -> bytes:
@@ -418,7 +420,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     t = whole_text(text_col)
     src = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("did"), t.alias("t"), F.unhex(F.sha2(F.encode(t, "UTF-8"), 256)).alias("digest"))
     texts = src.filter(F.octet_length("t") >= LENGTH).groupBy("digest").agg(F.min("did").alias("rep"), F.first("t").alias("t"))
-    packs = snapshot(texts.select("digest", "rep", "t").mapInArrow(_pack, "pack bigint, ids binary, digests binary, sizes binary, data binary, n bigint"))
+    # Packs are a bucketed table, so that what comes back for a pack is shuffled to it and never the texts again.
+    name = f"millrace_packs_{uuid.uuid4().hex}"
+    made = texts.select("digest", "rep", "t").mapInArrow(_pack, "pack bigint, ids binary, digests binary, sizes binary, data binary, n bigint")
+    buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    made.write.format("parquet").option("compression", "none").bucketBy(buckets, "pack").saveAsTable(name)
+    packs = spark.table(name)
     total = packs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = _power(total * 2 / (SIDE + 2) / HASHES_A_RANGE)
     offers = packs.select("pack", "sizes", "data").mapInArrow(_offer(bits), "range bigint, pack bigint, hashes binary, twice binary")
@@ -434,7 +441,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     marks = merged.groupBy("pack").agg(F.collect_list(F.struct("from", "mask")).alias("marks"))
     known = runs.select("pack", "least", "at", "key_no").join(marks, "pack", "left")
     done = packs.join(known, "pack", "left").select("pack", "ids", "digests", "sizes", "data", "least", "at", "key_no", "marks")
-    results = done.mapInArrow(_remove, "digest binary, rep bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    results = snapshot(done.mapInArrow(_remove, "digest binary, rep bigint, n_removed bigint, n_spans bigint, kept_sha256 string"))
+    spark.sql(f"DROP TABLE {name}")
     rows = src.select("doc_id", "did", F.octet_length("t").cast("long").alias("n_bytes"), "digest")
     copy = F.col("did") > F.col("rep")
     return rows.join(results, "digest", "left").select(
