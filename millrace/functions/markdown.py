@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate, pairwise, takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -12,55 +15,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-HEADING = re.compile(r"(?P<marks>\#{1,6})\s+(?P<title>\S(?:.*\S)?)\s*\Z")
-
-
-def sections(text: str) -> list[tuple[list[str], str]]:
-    """(heading path, text with its heading line) of each section that isn't empty. Fences aren't looked at."""
-    path: list[str] = []
-    found: list[tuple[list[str], list[str]]] = [([], [])]
-    for line in text.splitlines():
-        if m := HEADING.match(line):
-            path = [*path[: len(m["marks"]) - 1], m["title"]]
-            found.append((path, [line]))
-        else:
-            found[-1][1].append(line)
-    return [(p, body) for p, lines in found if (body := "\n".join(lines).strip())]
-
-
-def packed(paragraphs: list[str], target: int, overlap: int) -> list[str]:
-    """Paragraphs joined up to about target characters; trailing ones of up to overlap characters begin the next piece."""
-    out: list[str] = []
-    held: list[str] = []
-    size = 0
-    for p in paragraphs:
-        if held and size + len(p) + 2 > target:
-            out.append("\n\n".join(held))
-            keep, room = len(held), overlap
-            while keep and len(held[keep - 1]) + 2 <= room:
-                keep -= 1
-                room -= len(held[keep]) + 2
-            held = held[keep:]
-            size = len("\n\n".join(held))
-        size += len(p) + 2 * bool(size)
-        held.append(p)
-    return [*out, "\n\n".join(held)] if held else out
-
-
-def split_markdown(text: str | None, target: int = 1200, overlap: int = 150, min_chars: int = 30) -> list[dict]:
-    """Chunks (text, heading_path) in document order. A long section's leading headings stand before each of its pieces."""
-    out = []
-    for path, body in sections(text or ""):
-        pieces = [body]
-        if len(body) > target:
-            parts = [p.strip() for p in re.split(r"\n\s*\n", body) if p.strip()]
-            n = 0
-            while n < len(parts) and all(HEADING.match(x) for x in parts[n].splitlines()):
-                n += 1
-            head = "\n\n".join(parts[:n])
-            pieces = [f"{head}\n\n{x}".strip() for x in packed(parts[n:], target, overlap)]
-        out += [{"text": x, "heading_path": list(path)} for x in pieces if len(x) >= min_chars]
-    return out
+# Fixed value: a line that is a heading, with its marks and its title.
+HEADING = re.compile(r"^(#{1,6})\s+(.*\S)\s*$")
+
+
+def _under(path: tuple[str, ...], heading: re.Match) -> tuple[str, ...]:
+    """The path at a heading of this depth; a depth that was jumped over leaves no gap."""
+    return (*path[: len(heading[1]) - 1], heading[2])
+
+
+def windows(sizes: list[int], target: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """(from, to) of runs of paragraphs: each as long as its joined text keeps within target, one paragraph more than
+    what is carried at least; what is carried from a run is its longest end of up to overlap characters."""
+    edge = [0, *accumulate(n + 2 for n in sizes)]
+    first, least = 0, 1
+    while least <= len(sizes):
+        to = max(least, bisect_right(edge, edge[first] + target + 2) - 1)
+        yield first, to
+        first, least = max(first, bisect_left(edge, edge[to] - overlap)), to + 1
+
+
+def chunk_markdown(text: str | None, target: int = 1200, overlap: int = 150, min_chars: int = 30) -> list[tuple[str, tuple[str, ...]]]:
+    """(text, heading path) of each chunk, in order.
+
+    Lines are cut before each heading (within fences, too). A part longer than target is cut further between paragraphs, and
+    the headings that it begins with stand before each of its pieces.
+    """
+    lines = (text or "").splitlines()
+    heads = [(i, m) for i, line in enumerate(lines) if (m := HEADING.match(line))]
+    paths = accumulate((m for _, m in heads), _under, initial=())
+    cuts = [0, *(i for i, _ in heads), len(lines)]
+    found = []
+    for path, (a, z) in zip(paths, pairwise(cuts), strict=True):
+        body = "\n".join(lines[a:z]).strip()
+        if len(body) <= target:
+            found.append((body, path))
+            continue
+        parts = [x.strip() for x in re.split(r"\n\s*\n", body) if x.strip()]
+        titles = list(takewhile(lambda x: all(map(HEADING.match, x.splitlines())), parts))
+        rest = parts[len(titles) :]
+        found += [("\n\n".join([*titles, *rest[i:j]]), path) for i, j in windows(list(map(len, rest)), target, overlap)]
+    return [(x, path) for x, path in found if x and len(x) >= min_chars]
 
 
 CHUNKS = "array<struct<text:string,heading_path:array<string>>>"
@@ -73,7 +68,7 @@ def with_chunks(df: DataFrame, text_col: str, target: int = 1200, overlap: int =
 
     def run(batches):
         for b in batches:
-            pieces = [split_markdown(t, target, overlap, min_chars) for t in b.column(at).to_pylist()]
+            pieces = [[{"text": x, "heading_path": list(path)} for x, path in chunk_markdown(t, target, overlap, min_chars)] for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(pieces, kind)], [*b.schema.names, "pieces"])
 
     from pyspark.sql.types import StructType, _parse_datatype_string

@@ -7,26 +7,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TICKS = "`{3}"
-FENCE = "(?s)" + TICKS + r"[^\n]*\n" + "(.*?)" + TICKS
+# The patterns that verdicts depend on, as they stand in the data's contract.
+FENCE = "(?s)```[^\\n]*\\n(.*?)```"
 INLINE = r"`[^`\n]+`"
-_URL = r"https?://\S+"
-LINK = rf"\[[^\]]+\]\({_URL}\)|{_URL}"
-WORD = "[A-Za-z][A-Za-z'-]+"
-TOKEN = "[a-z0-9_]+"
-#: Promotion: a first word and what may follow it, and fixed phrases. All without regard to case.
-PROMOTION = {r"please\s+": ("donate", "follow", "help", "subscribe", "upvote"), r"check\s+out\s+my\s+": ("blog", "channel", "github", "repo")}
-BEFORE_CODE = ("coupon", "discount", "free", "promo")
-FIXED = ("hiring now", "job opening", "we are hiring")
-HELP = ("anyone know how", "can someone help me", "how do i fix", "i am stuck", "i'm stuck", "please help me", "urgent help")
-
-
-def _either(words) -> str:
-    return "(" + "|".join(words) + ")"
-
-
-SPAM = "|".join(rf"\b{x}\b" for x in [*[k + _either(v) for k, v in PROMOTION.items()], _either(BEFORE_CODE) + r"\s+code", r"buy\s+now", r"click\s+here", _either(FIXED)])
-HELP_ASKED = rf"\b{_either(HELP)}\b"
+LINK = r"https?://\S+|\[[^\]]+\]\(https?://\S+\)"
+WORD = r"[A-Za-z][A-Za-z'-]+"
+TOKEN = r"[a-z0-9_]+"
+SPAM_PATTERNS = [
+    r"\bplease\s+(help|subscribe|follow|upvote|donate)\b",
+    r"\bcheck\s+out\s+my\s+(channel|blog|repo|github)\b",
+    r"\b(free|discount|coupon|promo)\s+code\b",
+    r"\bbuy\s+now\b",
+    r"\bclick\s+here\b",
+    r"\b(job opening|we are hiring|hiring now)\b",
+]
+HELP_PATTERN = r"\b(can someone help me|how do i fix|i am stuck|i'm stuck|anyone know how|please help me|urgent help)\b"
+
+SPAM = "|".join(SPAM_PATTERNS)
+HELP_ASKED = HELP_PATTERN
 
 
 @dataclass(frozen=True)

@@ -29,6 +29,12 @@ def daily(articles: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     return recent.groupBy(F.to_date("crawled_at").alias("day")).agg(F.count("*").alias("n")).orderBy("day")
 
 
+def recent(samples: DataFrame, as_of: Column, hours: int, ts: str = "taken_at") -> DataFrame:
+    """Samples of the last hours (1 to 168; more or less is taken as the nearest of these), in order of time."""
+    hours = max(1, min(168, hours))
+    return samples.filter(F.col(ts) >= as_of - F.make_dt_interval(F.lit(0), F.lit(hours))).orderBy(ts)
+
+
 def matching(articles: DataFrame, lang: str | None = None, q: str | None = None, source: str | None = None) -> DataFrame:
     out = articles
     if lang:

@@ -81,6 +81,22 @@ def activity_rows(deltas: DataFrame, minutes: int = 5) -> DataFrame:
     return deltas.groupBy(floor_minutes(F.col("taken_at"), minutes).alias("bucket"), "source").agg(F.sum("produced_delta").alias("produced_delta"))
 
 
+def counter_growth(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Growth of a counter by source (source, n) from one sample to the next; a source that one lacks has 0 there."""
+    both = before.toDF("source", "b").join(after.toDF("source", "a"), "source", "full_outer").na.fill(0, ["a", "b"])
+    return both.select("source", F.greatest(F.lit(0), F.col("a") - F.col("b")).cast("long").alias("delta"))
+
+
+def snapshot(outcomes: DataFrame, deltas: DataFrame, taken_at: Column, pending: int = 0, dlq: int = 0, stream_len: int = 0) -> DataFrame:
+    """A row of the snapshots' table: totals, and the deltas of the last sample (source and three deltas) as a map."""
+    stored = F.col("outcome") == "stored"
+    total = outcomes.agg(F.count("*").alias("produced"), F.count_if(stored).alias("stored"), F.count_if(~stored).alias("rejected"))
+    entry = F.struct("source", F.struct("produced_delta", "stored_delta", "rejected_delta"))
+    by = deltas.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("by_source"))  # a source each
+    counts = [F.lit(v).cast(t).alias(k) for k, v, t in (("pending", pending, "int"), ("dlq", dlq, "int"), ("stream_len", stream_len, "long"))]
+    return total.join(by).select(taken_at.alias("taken_at"), "produced", "stored", "rejected", *counts, "by_source")
+
+
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last run of each source."""
     cols = [c for c in runs.columns if c != "source"]

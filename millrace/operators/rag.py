@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.markdown import posexploded, with_chunks
-from ..functions.scalars import chunk_id
-from .store import last_wins, upsert
+from ..functions.scalars import chunk_id, iso
+from .dashboard import as_json
+from .store import exists, last_wins, remove, save_watermark, upsert, watermark
+
+ARCHIVE = "chunk_id STRING, embedding ARRAY<FLOAT>, model STRING, dim INT"
+CHUNK_LINE = (
+    "chunk_id STRING, article_id BIGINT, url STRING, title STRING, heading_path ARRAY<STRING>, chunk_index INT, n_chunks INT, text STRING, "
+    "tags ARRAY<STRING>, source_type STRING, language STRING, published_at TIMESTAMP, quality_score DOUBLE"
+)
 
 
 def chunks(articles: DataFrame, after_id: int = 0, target: int = 1200, overlap: int = 150, min_chars: int = 30) -> DataFrame:
@@ -58,6 +66,47 @@ def embed(chunk_table: DataFrame, embedder: Callable[[list[str]], np.ndarray] =
     return chunk_table.select("chunk_id", "text").mapInArrow(run, "chunk_id string, embedding array<float>")
 
 
+def in_request_order(answers: DataFrame) -> DataFrame:
+    """request, vectors: an embedder's answers (request, index, vector) put in the order of what was asked. A request has
+    as many as a batch has texts."""
+    own = F.array_sort(F.collect_list(F.struct("index", "vector")))
+    return answers.groupBy("request").agg(F.transform(own, lambda x: x["vector"]).alias("vectors"))
+
+
+def embed_new(chunk_table: DataFrame, at: str, model: str, embedder: Callable[[list[str]], np.ndarray] = hashed_words, batch: int = 32) -> tuple[int, int]:
+    """Embeds the chunks that the archive at `at` lacks: vectors are appended to it, ids that failed are listed beside it
+    (a later call tries just those again). How many were embedded, and how many failed."""
+    spark = chunk_table.sparkSession
+    have = spark.read.schema(ARCHIVE).parquet(f"{at}/vectors") if exists(spark, f"{at}/vectors") else spark.createDataFrame([], ARCHIVE)
+    run = f"{at}/run-{uuid.uuid4().hex}"
+    embed(to_embed(chunk_table, have), embedder, batch).write.parquet(run)
+    done = spark.read.parquet(run)
+    ok = done.filter("embedding IS NOT NULL")
+    ok.select("chunk_id", "embedding", F.lit(model).alias("model"), F.size("embedding").alias("dim")).write.mode("append").parquet(f"{at}/vectors")
+    done.filter("embedding IS NULL").select("chunk_id").write.mode("overwrite").parquet(f"{at}/failed")
+    n, failed = done.agg(F.count("embedding"), F.count_if(F.col("embedding").isNull())).first()
+    remove(spark, run)
+    return n, failed
+
+
+def export_chunks(articles: DataFrame, out: str, state: str, full: bool = False, **cut) -> int:
+    """Writes chunks as JSON lines: of all articles over what was there, or of those above the watermark in addition. The
+    watermark is kept either way. The last article's id."""
+    spark = articles.sparkSession
+    last = 0 if full else watermark(spark, state)
+    c = chunks(articles, last, **cut).withColumn("published_at", iso(F.col("published_at")))
+    as_json(c, c.columns).write.mode("overwrite" if full else "append").text(out)
+    top = articles.filter("content_md IS NOT NULL").agg(F.greatest(F.lit(last), F.coalesce(F.max("id"), F.lit(0)))).first()[0]
+    save_watermark(spark, state, top)
+    return top
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """Exported chunks; of lines with one id the one of the highest article and then text counts."""
+    rows = spark.read.schema(CHUNK_LINE).json(path).filter("chunk_id IS NOT NULL")
+    return last_wins(rows, "chunk_id", ["article_id", "text"])
+
+
 def with_vectors(chunk_table: DataFrame, vectors: DataFrame, order: list | None = None) -> DataFrame:
     """Chunks that have a vector; of chunks written twice the last one counts."""
     own = last_wins(chunk_table, "chunk_id", order) if order else chunk_table

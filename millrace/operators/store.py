@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,6 +55,47 @@ def after_replay(letters: DataFrame, replayed: DataFrame) -> DataFrame:
     return letters.join(replayed.select("stream_msg_id"), "stream_msg_id", "left_anti")
 
 
+def publish(new: DataFrame, log: DataFrame, seen: DataFrame, key: str, order: str, most: int) -> DataFrame:
+    """The log after new rows have come: first by key and not seen; of old and new rows the latest `most` stay."""
+    from .dedup import append_if_absent
+
+    return log.unionByName(append_if_absent(new, seen, key, [order])).orderBy(F.desc(order)).limit(most)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    at, fs = _fs(spark, path)
+    return fs.exists(at)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, fs = _fs(spark, path)
+    fs.delete(at, True)
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path for a job's files in the folder that driver and executors share (a temporary one where none is named)."""
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return f"{at.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Puts df in the place of the table at path, which df may have been read from: written beside it, then renamed."""
+    spark = df.sparkSession
+    old, new = f"{path}.old-{uuid.uuid4().hex}", f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(new)
+    here, fs = _fs(spark, path)
+    if fs.exists(here):
+        fs.rename(here, _fs(spark, old)[0])
+    fs.rename(_fs(spark, new)[0], here)
+    remove(spark, old)
+
+
 def watermark(spark: SparkSession, path: str) -> int:
     """The last id kept at path; 0 where there is none or it can't be read."""
     try:

@@ -635,3 +635,6 @@ def FLT01_message_parse(spark, sf_dir):
 def SET01_key_union(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.filter("lang = 'en'").select("source", "lang").union(d.filter("doc_id % 2 = 0").select("source", "lang")).distinct()
+
+
+from . import flows  # noqa: E402,F401  registers further queries

@@ -70,19 +70,37 @@ def test_bands_and_blocks(spark):
 
 
 def test_chunks_follow_headings():
-    got = md.split_markdown("before the first heading, long enough to stay\n# Title\nthe question of the document\n## Top answer\nthe answer to the question")
-    assert [c["heading_path"] for c in got] == [[], ["Title"], ["Title", "Top answer"]]
+    got = md.chunk_markdown("before the first heading, long enough to stay\n# Title\nthe question of the document\n## Top answer\nthe answer to the question")
+    assert [path for _, path in got] == [(), ("Title",), ("Title", "Top answer")]
+    jumped = md.chunk_markdown("# A\n### B\n### C\n# D", min_chars=1)
+    assert [path for _, path in jumped] == [("A",), ("A", "B"), ("A", "B", "C"), ("D",)]
 
 
 def test_long_sections_are_packed():
     paragraphs = [f"paragraph {i} " + "x" * 290 for i in range(12)]
-    got = md.split_markdown("# T\n\n" + "\n\n".join(paragraphs), 1200, 350)
-    assert len(got) > 3 and all(c["text"].startswith("# T") for c in got)
+    got = [x for x, _ in md.chunk_markdown("# T\n\n" + "\n\n".join(paragraphs), 1200, 350)]
+    assert len(got) > 3 and all(x.startswith("# T") for x in got)
     for a, b in zip(got, got[1:], strict=False):
-        assert a["text"].split("\n\n")[-1] == b["text"].split("\n\n")[1]
+        assert a.split("\n\n")[-1] == b.split("\n\n")[1]
     fence = "```\n" + "line\n" * 400 + "```"
-    assert [c["text"] for c in md.split_markdown(fence)] == [fence]
-    assert md.split_markdown("tiny") == [] and md.split_markdown(None) == []
+    assert md.chunk_markdown(fence) == [(fence, ())]
+    assert md.chunk_markdown("tiny") == md.chunk_markdown(None) == []
+
+
+def test_windows_cover_all_paragraphs():
+    r = random.Random(3)
+    for _ in range(500):
+        sizes = [r.randrange(1, 60) for _ in range(r.randrange(12))]
+        target, overlap = r.randrange(10, 90), r.randrange(0, 40)
+        got = list(md.windows(sizes, target, overlap))
+        assert [j for _, j in got] == sorted({j for _, j in got}) and (got[-1][1] if got else 0) == len(sizes)
+        for (a, b), (c, d) in zip(got, got[1:], strict=False):
+            assert c <= b < d and (c == b or sum(n + 2 for n in sizes[c:b]) <= overlap)
+            assert c == a or sum(n + 2 for n in sizes[c - 1 : b]) > overlap
+        for k, (a, b) in enumerate(got):
+            least = got[k - 1][1] + 1 if k else 1
+            assert b == least or sum(n + 2 for n in sizes[a:b]) - 2 <= target
+            assert b == len(sizes) or sum(n + 2 for n in sizes[a : b + 1]) - 2 > target
 
 
 def test_html():
