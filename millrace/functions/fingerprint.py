@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -44,23 +45,16 @@ def block_keys(h: Column, blocks: int = 6, agree: int = 3) -> Column:
 def simhash_md5(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, simhash: native; each token weighs as often as it occurs, hashed by the first 64 bits of MD5; ties give 0.
 
-    Tokens are counted per text before they are hashed, and 64 sums are combined before the shuffle.
+    A text's tokens come from one row, so the 64 sums are combined before the shuffle, which gets one row for each text.
     """
     tokens = df.select(F.col(id_col), F.explode_outer(all_of(F.lower(F.col(text_col)), TOKEN)).alias("token"))
-    counted = tokens.groupBy(id_col, "token").agg(F.count("token").alias("n"))
     hexed = F.md5(F.col("token").cast("binary"))
-    h = counted.select(id_col, "n", F.conv(F.substring(hexed, 1, 8), 16, 10).cast("long").alias("hi"), F.conv(F.substring(hexed, 9, 8), 16, 10).cast("long").alias("lo"))
-    sums = []
-    for i in range(64):
-        half = F.col("lo") if i < 32 else F.col("hi")
-        bit = F.shiftright(half, i % 32).bitwiseAND(F.lit(1).cast("long"))
-        sums.append(F.sum(F.when(bit == 1, F.col("n")).otherwise(-F.col("n"))).alias(f"s{i}"))
+    h = tokens.select(id_col, F.conv(F.substring(hexed, 1, 8), 16, 10).cast("long").alias("hi"), F.conv(F.substring(hexed, 9, 8), 16, 10).cast("long").alias("lo"))
+    one = F.lit(1).cast("long")
+    sums = [F.sum(2 * F.shiftright("lo" if i < 32 else "hi", i % 32).bitwiseAND(one) - 1).alias(f"s{i}") for i in range(64)]
     total = h.groupBy(id_col).agg(*sums)
-    bit = [F.when(F.col(f"s{i}") > 0, F.shiftleft(F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")) for i in range(64)]
-    out = bit[0]
-    for b in bit[1:]:
-        out = out.bitwiseOR(b)
-    return total.select(id_col, out.alias("simhash"))
+    bit = [F.when(F.col(f"s{i}") > 0, F.shiftleft(one, i)).otherwise(F.lit(0).cast("long")) for i in range(64)]
+    return total.select(id_col, reduce(Column.bitwiseOR, bit).alias("simhash"))
 
 
 def simhash_of(text: str | None) -> int:
