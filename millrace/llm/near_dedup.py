@@ -3,12 +3,14 @@
 A document's set holds its distinct runs of ``words`` words (A-Z lower-cased; with fewer words all of them as one). Documents
 with one and the same set are one node. Each node has ``BANDS * ROWS`` registers: the least value of a hash function over the
 set, kept as its number of leading zeros and ten mantissa bits. Nodes that agree in all registers of a band share a bucket.
+Two documents of similarity 0.8 share no bucket with a probability of 1.3e-7, less above.
 
-In a bucket all members are compared with one hub, not with each other: first an estimate from the last bit of each register
-(corrected for bits that agree by chance) drops what is clearly too far, then the full sets are compared. Links make components.
-A bucket all of whose members are in one component is done. In the others, members outside the bucket's largest component
-are compared with further hubs of it, and at last each of them with every member of another component in its bucket, so that
-no link within a bucket is left out. Two documents of similarity 0.8 share no bucket with a probability of 1.3e-7, less above.
+1. In a bucket all members are compared with one hub (the least id): an estimate from the last bit of each register (corrected
+   for bits that agree by chance) drops what is clearly too far, then the full sets are compared. Links make components.
+2. A bucket all of whose members are in one component is done. Members of the others are gathered by their hub and compared
+   across components, exactly: a hub's members are dealt into blocks of bounded size, a task takes two blocks and counts the
+   shared shingles of all its pairs by matrix products, and only what joins two components comes out, as stars. Members of
+   the hub's largest component aren't compared with each other. So no link within a bucket is left out.
 
 Documents without words or text are linked with nothing, and so are rows without an id (their component is null, they are
 kept). Repeated rows fall into one component and keep their rows. Extra columns are left out.
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretok
-from .bpe import slices
+from .bpe import slices, spread
 from .common import small_batches, snapshot, whole_text
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
@@ -35,9 +37,10 @@ COLLIDE = 0.5
 #: Estimates this far below the threshold are not compared (six standard deviations for a pair at 0.8).
 SLACK = 0.25
 SKETCH = ["s0", "s1", "s2", "s3"]
-HUB_ROUNDS = 3
-#: Outsiders meet all of their bucket at once if that makes at most so many pairs a member; else further hubs come first.
-MEETINGS = 8
+#: A hub's members are dealt into blocks of a sixteenth of their shingles, but no fewer and no more shingles than this.
+BLOCK = (20_000, 400_000)
+#: Columns of the dense matrices whose product counts shared shingles.
+COLUMNS = 2048
 #: Up to this many ids (8 bytes each) are broadcast to pick texts out; more go by a shuffle.
 BROADCAST_IDS = 500_000
 _SEEDS = np.random.default_rng(20240501).integers(0, 2**32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -140,6 +143,13 @@ def _sets(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("node"), whole_text(text_col).alias("t")).mapInArrow(run, f"node {kind}, shingles binary")
 
 
+def _sets_of(nodes: DataFrame, docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    """node, shingles of the given nodes; texts are read for these only."""
+    wanted = snapshot(nodes.toDF(id_col))
+    few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return snapshot(_sets(docs.join(F.broadcast(wanted) if few else wanted, id_col, "left_semi"), words, id_col, text_col))
+
+
 def _keep_near(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) that their sizes and sketches don't rule out."""
     x = nodes.select("node", "n", *SKETCH)
@@ -148,12 +158,9 @@ def _keep_near(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return pairs.filter(may_link(least, "a", "b")).select("a", "b")
 
 
-def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs whose full sets have a similarity of percent or more. Texts are read for the pairs' documents only."""
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets have a similarity of percent or more."""
     kind = pairs.schema["a"].dataType.simpleString()
-    nodes = snapshot(pairs.select(F.explode(F.array("a", "b")).alias(id_col)).distinct())
-    few = nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    sets = snapshot(_sets(docs.join(F.broadcast(nodes) if few else nodes, id_col, "left_semi"), words, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,6 +179,94 @@ def _confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int, id_col
     return full.select("a", "b", "xa", "xb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """How many elements each of xs shares with each of ys (sets of 64-bit numbers)."""
+    out = np.zeros((len(xs), len(ys)), np.float32)
+    own = [(np.repeat(np.arange(len(s)), [len(v) for v in s]), np.concatenate([*s, np.empty(0, np.uint64)])) for s in (xs, ys)]
+    common = np.intersect1d(own[0][1], own[1][1])
+    if not len(common):
+        return out
+    sides = []
+    for row, v in own:
+        col = np.minimum(np.searchsorted(common, v), len(common) - 1)
+        hit = common[col] == v
+        order = np.argsort(col[hit], kind="stable")
+        sides.append((row[hit][order], col[hit][order]))
+    (rx, cx), (ry, cy) = sides
+    nx, ny = np.bincount(cx, minlength=len(common)), np.bincount(cy, minlength=len(common))
+    # Elements that many hold go through dense products, others pair by pair.
+    dense = nx * ny * 50 > out.size
+    number = np.cumsum(dense) - 1
+    for a in range(0, int(dense.sum()), COLUMNS):
+        part = []
+        for row, col, n in ((rx, cx, len(xs)), (ry, cy, len(ys))):
+            some = dense[col] & (number[col] >= a) & (number[col] < a + COLUMNS)
+            m = np.zeros((n, COLUMNS), np.float32)
+            m[row[some], number[col[some]] - a] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    starts = np.cumsum(ny) - ny
+    rare = np.flatnonzero(~dense[cx])
+    bounds = np.cumsum(ny[cx[rare]])
+    for a in range(0, int(bounds[-1]) if len(bounds) else 0, 4_000_000):
+        some = rare[np.searchsorted(bounds, a, "right") : np.searchsorted(bounds, a + 4_000_000, "right")]
+        n = ny[cx[some]]
+        other = ry[spread(starts[cx[some]], n)]
+        np.add.at(out.reshape(-1), np.repeat(rx[some], n) * len(ys) + other, 1)
+    return out
+
+
+def joined(xs, ys, labels_x: np.ndarray, labels_y: np.ndarray, percent: int) -> np.ndarray:
+    """Of two blocks of sets the links between different labels, as stars: (first, other) places; ys count on after xs."""
+    size = [np.array([len(v) for v in s], np.float64) for s in (xs, ys)]
+    both = overlaps(xs, ys).astype(np.float64)
+    link = (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)) & (labels_x[:, None] != labels_y[None, :])
+    first_x, first_y = np.arange(len(xs)), np.arange(len(xs), len(xs) + len(ys))
+    if not link.any():
+        return np.empty((0, 2), np.int64)
+    while True:
+        none = len(xs) + len(ys)
+        new_y = np.minimum(first_y, np.where(link, first_x[:, None], none).min(axis=0))
+        new_x = np.minimum(first_x, np.where(link, new_y[None, :], none).min(axis=1))
+        if (new_x == first_x).all() and (new_y == first_y).all():
+            break
+        first_x, first_y = new_x, new_y
+    first = np.concatenate([first_x, first_y])
+    other = np.flatnonzero(first != np.arange(len(first)))
+    return np.column_stack([first[other], other])
+
+
+def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components of nodes that share a bucket of several components; enough of them to join all that
+    are linked."""
+    kind = nodes.schema["node"].dataType.simpleString()
+    left = members.filter("size > 2").select("key", "hub", "node").join(labels, "node", "left")
+    left = snapshot(left.select("key", "hub", "node", F.coalesce("label", "node").alias("label")))
+    several = left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
+    weight = nodes.groupBy("node").agg(F.sum("n").alias("n"))
+    group = snapshot(left.join(several, "key", "left_semi").select("hub", "node", "label").distinct().join(weight, "node"))
+    sizes = group.groupBy("hub", "label").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
+    hubs = sizes.groupBy("hub").agg(F.max(F.struct("k", "label", "t")).alias("m"), F.sum("t").alias("t"))
+    block = F.least(F.greatest(F.col("t") / 16, F.lit(BLOCK[0])), F.lit(BLOCK[1]))
+    hubs = hubs.select("hub", F.col("m.label").alias("main"), F.ceil((F.col("t") - F.col("m.t")) / block).cast("int").alias("no"), F.ceil(F.col("m.t") / block).cast("int").alias("ni"))
+    rows = group.join(hubs, "hub").withColumn("in", F.col("label") == F.col("main"))
+    number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    rows = rows.withColumn("b", F.when(F.col("in"), F.col("no") + number("ni")).otherwise(number("no")))
+    rows = rows.withColumn("c", F.explode(F.sequence(F.lit(0), F.when(F.col("in"), F.col("no") - 1).otherwise(F.col("no") + F.col("ni") - 1))))
+    cells = rows.select("node", "hub", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "b", "label").join(sets, "node")
+
+    def run(t: pa.Table) -> pa.Table:
+        i, j = (t.column(k)[0].as_py() for k in ("i", "j"))
+        ids, b, label = t.column("node").to_numpy(), t.column("b").to_numpy(), t.column("label").to_numpy()
+        held = [np.frombuffer(x, np.uint64) for x in t.column("shingles").to_pylist()]
+        x, y = np.flatnonzero(b == i), np.flatnonzero(b == j)
+        pairs = joined([held[k] for k in x], [held[k] for k in y], label[x], label[y], percent) if len(x) and len(y) else np.empty((0, 2), np.int64)
+        at = np.concatenate([x, y])
+        return pa.table({k: pa.array(ids[at[pairs[:, n]]], t.schema.field("node").type) for n, k in enumerate("ab")})
+
+    return cells.groupBy("hub", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
+
+
 def components(edges: DataFrame, most_levels: int = 60) -> DataFrame:
     """node, label: the least node reachable, for all nodes of the edges (a, b).
 
@@ -221,39 +316,14 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str
     some = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     nodes = snapshot(some.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("bands", *SKETCH)], F.first("n_shingles").alias("n")))
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top").select("key", "hub")
-    members = snapshot(buckets.join(hubs, "key").select("key", "node", "hub"))
+    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("size")).filter("hub < top").select("key", "hub", "size")
+    members = snapshot(buckets.join(hubs, "key").select("key", "node", "hub", "size"))
+    sets = _sets_of(members.select("node").distinct(), docs, words, id_col, text_col)
     star = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    find = lambda near: _confirm(snapshot(near), docs, words, percent, id_col, text_col)
-    labels = components(snapshot(find(_keep_near(star, nodes, least))))
-    turn = 0
-    while True:
-        known = nodes.select("node", "n", *SKETCH).join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labelled = members.select("key", "node").join(known, "node")
-        sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("k"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("k", "label")).alias("m"), F.count("*").alias("labels"), F.sum("k").alias("size"))
-        # Of a bucket of two the only pair has been compared.
-        main = main.filter("labels > 1 AND size > 2").select("key", F.col("m.label").alias("main"), "size")
-        left = snapshot(labelled.join(main, "key"))
-        work = left.agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") != F.col("main"), F.col("size"))).alias("meetings")).first()
-        if not work["n"]:
-            break
-        outside = left.filter("label <> main").drop("size")
-        last = work["meetings"] <= MEETINGS * work["n"] or turn == HUB_ROUNDS
-        if last:
-            other = left.select("key", *[F.col(c).alias(f"{c}o") for c in ("node", "label", "n", *SKETCH)])
-        else:  # most of them join the main component through one of its other members
-            order = F.struct(F.xxhash64("node", F.lit(turn)), *[F.col(c) for c in ("node", "label", "n", *SKETCH)])
-            hub = left.filter("label = main").groupBy("key").agg(F.min(order).alias("h"))
-            other = hub.select("key", *[F.col(f"h.{c}").alias(f"{c}o") for c in ("node", "label", "n", *SKETCH)])
-        met = outside.join(other, (outside["key"] == other["key"]) & (F.col("label") != F.col("labelo")) & may_link(least))
-        near = met.select(F.least("node", "nodeo").alias("a"), F.greatest("node", "nodeo").alias("b")).distinct()
-        links = snapshot(find(near))
-        if links.limit(1).count():
-            labels = _relabel(labels, links)
-        if last:
-            break
-        turn += 1
+    labels = components(snapshot(_confirm(snapshot(_keep_near(star, nodes, least)), sets, percent)))
+    links = snapshot(_across(members, labels, nodes, sets, percent))
+    if links.limit(1).count():
+        labels = _relabel(labels, links)
     found = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
     component = F.coalesce("component", "doc_id")
