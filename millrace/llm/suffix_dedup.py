@@ -40,6 +40,8 @@ KEY = GRAM + 2 * SIDE + 2
 PACK_BYTES = 4_000_000
 #: Hashes, and suffixes, that one range of an exchange holds on average.
 HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 100_000
+#: Bits of an anchor's hash. Two anchors of one hash are taken for repeated, and told apart when their suffixes are merged.
+HASH_BITS = 48
 NO_ID = 2**63 - 1
 _ZSTD = pa.Codec("zstd", compression_level=6)
 
@@ -86,7 +88,8 @@ class Pack:
         self.begins = self.ends - self.sizes
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Places, hashes and documents (by number) of the anchors."""
+        """Places, hashes and documents (by number) of the anchors. As anchors are those of least hash, it is mixed again:
+        ranges of the result hold equally many."""
         n = len(self.raw) - GRAM + 1
         sums = pretok.prefix_sums(self.raw)
         h = pretok.mix((sums[GRAM:] - sums[:n]) * pretok.powers(len(self.raw) + 1, True)[:n])
@@ -101,7 +104,7 @@ class Pack:
         starts = spread(self.begins, np.maximum(self.sizes - LENGTH + 1, 0))
         at = (least[starts] & np.uint64(0xFFFFFFFF)).astype(np.int64)
         at = at[np.diff(at, prepend=-1) != 0]
-        return at, h[at], np.searchsorted(self.ends, at, "right")
+        return at, pretok.mix(h[at] + np.uint64(1)) >> np.uint64(64 - HASH_BITS), np.searchsorted(self.ends, at, "right")
 
     def suffixes(self, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """A row of KEY bytes for each place: anchor, what follows, what precedes backwards, and how much there is of these."""
@@ -128,17 +131,18 @@ def distinct_hashes(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def pack_numbers(x: np.ndarray) -> bytes:
-    """Rising numbers as differences, in as few bytes as the largest needs (which the first byte tells)."""
-    d = np.diff(x, prepend=np.uint64(0))
+    """Rising numbers: the first in eight bytes, then differences in as few bytes as the largest needs (the first byte tells)."""
+    d = np.diff(x)
     width = max(1, (int(d.max()).bit_length() + 7) // 8) if len(d) else 1
-    return bytes([width]) + d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return bytes([width]) + x[:1].astype("<u8").tobytes() + d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def unpack_numbers(data: bytes) -> np.ndarray:
     width = data[0]
-    raw = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :width] = raw
+    raw = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
+    wide = np.zeros((len(raw) + 1, 8), np.uint8)
+    wide[0] = np.frombuffer(data, np.uint8, 8, 1)
+    wide[1:, :width] = raw
     return np.cumsum(wide.view("<u8").ravel(), dtype=np.uint64)
 
 
@@ -268,7 +272,7 @@ def _offer(bits: int):
             for pack, sizes, data in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 _, h, doc = Pack(sizes, data).anchors()
                 own, twice = distinct_hashes(h, doc)
-                cut = np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+                cut = np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << np.uint64(HASH_BITS - bits))
                 cut = np.append(cut, len(own))
                 rows = [(r, pack, pack_numbers(own[a:z]), np.packbits(twice[a:z]).tobytes()) for r, (a, z) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if z > a]
                 cols = list(zip(*rows, strict=True)) or [()] * 4
@@ -308,7 +312,7 @@ def _sorted_runs(bits: int):
                 at, h, doc = p.anchors()
                 own, _ = distinct_hashes(h, doc)
                 shared = np.zeros(len(own), bool)
-                cut = np.append(np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)), len(own))
+                cut = np.append(np.searchsorted(own, np.arange(1 << bits, dtype=np.uint64) << np.uint64(HASH_BITS - bits)), len(own))
                 for m in masks:
                     a, z = cut[m["range"]], cut[m["range"] + 1]
                     shared[a:z] = np.unpackbits(np.frombuffer(m["mask"], np.uint8))[: z - a].astype(bool)

@@ -166,6 +166,15 @@ def test_loser_tree():
             assert n == next((i for i in range(8) if a[i] != b[i]), 8)
 
 
+def test_packed_numbers_and_front_codes():
+    r = np.random.default_rng(3)
+    for n, top in ((1, 2**63), (2, 2**48), (500, 2**48), (500, 600)):
+        x = np.unique(r.integers(0, top, n, dtype=np.uint64))
+        assert (suffix_dedup.unpack_numbers(suffix_dedup.pack_numbers(x)) == x).all()
+    keys = np.unique(r.integers(0, 3, (200, suffix_dedup.KEY), dtype=np.uint8), axis=0)
+    assert (suffix_dedup.front_decode(*suffix_dedup.front_code(keys)) == keys).all()
+
+
 def rule_counts(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t)
     grams = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
