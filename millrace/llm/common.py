@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Arrow batches to Python are cut at this size; rows are whole, so one very long text makes one larger batch.
@@ -50,6 +51,25 @@ def small_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
+def id_hash(id_col: str = "doc_id") -> Column:
+    return F.xxhash64(F.col(id_col).cast("string"))
+
+
+def under(order: Column, share: float) -> Column:
+    """Whether a 64-bit hash lies in this share of all hashes, from the least on. A sample of the least hashes is sought among
+    twice as many rows as it needs, so that what tasks hand on together doesn't grow with their number."""
+    return F.lit(True) if share >= 1 else order < F.lit(int(-(2**63) + share * 2**64)).cast("long")
+
+
+def shares(most: int, n: int) -> Iterator[float]:
+    """Shares in which `most` of n rows are sought: twice what is expected to hold them, then more, at last all."""
+    share = 2 * most / max(1, n)
+    while share < 1:
+        yield share
+        share *= 8
+    yield 1.0
+
+
 def whole_text(col: str = "text"):
     """Null counts as empty."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -18,15 +18,15 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import small_batches
+from .common import id_hash, shares, small_batches, snapshot, under
 
 MAX_LABELLED, MAX_POOL = 6_000, 3_000
 ROUNDS, PER_ROUND, CONFIDENT = 3, 400, 0.95
@@ -79,33 +79,32 @@ def logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 class TextView:
     """Telling words, each with a weight of evidence (smoothed log odds), and the logistic model over their sums."""
 
-    def learn_words(self, rows: list[set[bytes]], kinds: np.ndarray) -> None:
+    def learn_words(self, rows: list[np.ndarray], names: list[bytes], kinds: np.ndarray) -> None:
+        """rows: the numbers of each text's distinct words; names: all words by number."""
         self.words = {}
+        count = lambda which: np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(which)] or [np.empty(0, np.int32)]), minlength=len(names))
         for kind in (POOR, TOXIC):
-            bad, other = Counter(), Counter()
-            for own, k in zip(rows, kinds, strict=True):
-                (bad if k == kind else other).update(own)
-            nb, ng = max(1, int((kinds == kind).sum())), max(1, int((kinds != kind).sum()))
-            found = []
-            for w, a in bad.items():
-                b = other[w]
-                # Long texts hold all words more often, so a word of bad texts must be rare in the others as well.
-                if a >= LEAST_DOCS and a / nb > 20 * (b + 0.5) / ng:
-                    q = (a + b) / (nb + ng)
-                    z = (a / nb - b / ng) / math.sqrt(q * (1 - q) * (1 / nb + 1 / ng) + 1e-12)
-                    if z > LEAST_Z:
-                        found.append((-z, w, math.log((a + 0.5) / (nb + 1)) - math.log((b + 0.5) / (ng + 1))))
-            self.words |= {w: e for _, w, e in sorted(found)[: MAX_WORDS // 2]}
-
-    def fit(self, rows: list[tuple[set[bytes], list[float]]], y: np.ndarray) -> None:
-        self.w = logistic(self.matrix(rows), y)
-
-    def row(self, words: set[bytes], lexical: list[float]) -> list[float]:
-        hit = [self.words[w] for w in words & self.words.keys()]
+            bad = kinds == kind
+            a, b, nb, ng = count(bad), count(~bad), max(1, int(bad.sum())), max(1, int((~bad).sum()))
+            q = (a + b) / (nb + ng)
+            z = (a / nb - b / ng) / np.sqrt(q * (1 - q) * (1 / nb + 1 / ng) + 1e-12)
+            # Long texts hold all words more often, so a word of bad texts must be rare in the others as well.
+            telling = np.flatnonzero((a >= LEAST_DOCS) & (a / nb > 20 * (b + 0.5) / ng) & (z > LEAST_Z))
+            evidence = np.log((a + 0.5) / (nb + 1)) - np.log((b + 0.5) / (ng + 1))
+            self.words |= {names[i]: float(evidence[i]) for i in sorted(telling, key=lambda i: (-z[i], names[i]))[: MAX_WORDS // 2]}
+
+    def weights(self, names: list[bytes]) -> np.ndarray:
+        return np.array([self.words.get(w, 0.0) for w in names])
+
+    @staticmethod
+    def row(hit: list[float], lexical: list[float]) -> list[float]:
         return [min(sum(hit), 20.0) / 5, max(hit, default=0.0) / 5, min(len(hit), 5) / 5, *lexical]
 
-    def matrix(self, rows) -> np.ndarray:
-        return np.array([self.row(*r) for r in rows])
+    def fit(self, rows: list[list[float]], y: np.ndarray) -> None:
+        self.w = logistic(np.array(rows), y)
+
+    def matrix(self, seen: list[tuple[set[bytes], list[float]]]) -> np.ndarray:
+        return np.array([self.row([self.words[w] for w in own & self.words.keys()], lexical) for own, lexical in seen])
 
 
 class PageView:
@@ -134,16 +133,23 @@ class CoTrained:
     def __init__(self, constant: float | None = None):
         self.constant = constant
 
-    def fit(self, rows, kinds: np.ndarray, pool) -> CoTrained:
-        """rows, pool: (words, lexical, layout, source, lang); kinds: of the rows."""
+    def fit(self, rows, kinds: np.ndarray, pool, names: list[bytes]) -> CoTrained:
+        """rows, pool: (numbers of words, lexical, layout, source, lang); kinds: of the rows; names: the words by number."""
         y = (kinds != GOOD).astype(float)
-        text, page = (lambda r: (r[0], r[1])), (lambda r: (r[3], r[4], r[2]))
         cal = np.arange(len(rows)) % 3 == 2
         train = [r for r, c in zip(rows, cal, strict=True) if not c]
-        sets = {"text": ([text(r) for r in train], list(y[~cal])), "page": ([page(r) for r in train], list(y[~cal]))}
         self.text, self.page = TextView(), PageView()
-        self.text.learn_words([r[0] for r in train], kinds[~cal])
+        self.text.learn_words([r[0] for r in train], names, kinds[~cal])
+        weights = self.text.weights(names)
+
+        def text(r) -> list[float]:
+            w = weights[r[0]]
+            return self.text.row(w[w > 0].tolist(), r[1])
+
+        page = lambda r: (r[3], r[4], r[2])
+        sets = {"text": ([text(r) for r in train], list(y[~cal])), "page": ([page(r) for r in train], list(y[~cal]))}
         views = {"text": (self.text, text), "page": (self.page, page)}
+        inputs = {"text": np.array, "page": self.page.matrix}
         left = dict(enumerate(pool))
         for turn in range(ROUNDS + 1):
             for k, (v, _) in views.items():
@@ -153,7 +159,7 @@ class CoTrained:
             keys, taken = list(left), set()
             for k, other in (("text", "page"), ("page", "text")):
                 v, of = views[k]
-                z = logits(v.matrix([of(left[i]) for i in keys]), v.w)
+                z = logits(inputs[k]([of(left[i]) for i in keys]), v.w)
                 bound = math.log(CONFIDENT / (1 - CONFIDENT))
                 for sign, label in ((1, 1.0), (-1, 0.0)):
                     order = np.argsort(-sign * z, kind="stable")
@@ -167,7 +173,7 @@ class CoTrained:
         yc = y[cal].astype(float)
         self.scale = {}
         for k, (v, of) in views.items():
-            z = logits(v.matrix([of(r) for r in held]), v.w)
+            z = logits(inputs[k]([of(r) for r in held]), v.w)
             self.scale[k] = logistic(z[:, None], yc, l2=1e-4) if 0 < yc.sum() < len(yc) else np.array([1.0, 0.0])
         rate = (yc.sum() + 1) / (len(yc) + 2)
         self.prior = math.log(rate / (1 - rate))
@@ -186,30 +192,51 @@ class CoTrained:
         return good(a), good(b), good(a + b - self.prior)
 
 
-def _sample(df: DataFrame, most: int) -> list:
-    cols = [c for c in ("text", "source", "lang", "n_chars", "y") if c in df.columns]
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    rows = df.select(order.alias("o"), *cols).orderBy("o", *[F.col(c) for c in cols[1:]]).limit(most)
-    out = []
-    for r in rows.toLocalIterator():
-        words, lexical, layout = look(r["text"] or "", r["n_chars"])
-        out.append(((words, lexical, layout, str(r["source"]), str(r["lang"])), r["y"] if "y" in cols else None))
-    return out
+_LOOK = "o bigint, words binary, lexical array<double>, layout array<double>, source string, lang string, y int"
+
+
+def _sample(df: DataFrame, most: int, known: dict[bytes, int]) -> list:
+    """((numbers of words, lexical, layout, source, lang), label) of the first rows by hash of the id; known gives words their
+    numbers and grows. Texts are looked at where they are; the driver gets the distinct words and ratios of `most` texts."""
+    y = F.col("y").cast("int") if "y" in df.columns else F.lit(None).cast("int")
+    src = df.select(id_hash().alias("o"), "text", F.col("n_chars").cast("bigint").alias("n"), F.col("source").cast("string").alias("source"), F.col("lang").cast("string").alias("lang"), y.alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seen = [look(t or "", n) for t, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
+            words = pa.array([b" ".join(sorted(w)) for w, _, _ in seen], pa.binary())
+            ratios = [pa.array([x[k] for x in seen], pa.list_(pa.float64())) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), words, *ratios, *(b.column(k) for k in (3, 4, 5))], ["o", "words", "lexical", "layout", "source", "lang", "y"])
+
+    rows = src.mapInArrow(run, _LOOK).orderBy("o", "source", "lang", "y", "lexical").limit(most)
+    number = lambda words: np.fromiter((known.setdefault(w, len(known)) for w in bytes(words).split()), np.int32)
+    return [((number(r.words), list(r.lexical), list(r.layout), str(r.source), str(r.lang)), r.y) for r in rows.toLocalIterator()]
+
+
+def _least(most: int, of: DataFrame, rows: Callable[[Column], DataFrame]) -> DataFrame:
+    """The `most` rows of least hash of the id; rows(near) gives those among which they are sought. Their number is bounded."""
+    for share in shares(most, of.count()):
+        found = snapshot(rows(under(id_hash(), share)).orderBy(id_hash(), "doc_id").limit(most))
+        if found.count() == most:
+            break
+    return found
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> CoTrained:
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
     known = known.filter(F.col("q").isNotNull() | F.col("t").isNotNull()).select("doc_id", F.when(F.coalesce("t", F.lit(0)) == 1, TOXIC).when(F.coalesce("q", F.lit(1)) == 0, POOR).otherwise(GOOD).alias("y"))
     src = docs.select("doc_id", "text", "source", "lang", "n_chars")
+    small_batches(docs.sparkSession)
     # Ids first, so that texts are read for the bounded sample only.
-    chosen = known.join(src.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64(F.col("doc_id").cast("string"))).limit(max_labelled)
-    rows = _sample(src.join(F.broadcast(chosen), "doc_id"), max_labelled)
+    chosen = _least(max_labelled, labels, lambda near: known.filter(near).join(src.filter(near).select("doc_id").distinct(), "doc_id", "left_semi"))
+    words: dict[bytes, int] = {}
+    rows = _sample(src.join(F.broadcast(chosen), "doc_id"), max_labelled, words)
     kinds = np.array([b for _, b in rows], int)
     if not len(kinds) or (kinds == GOOD).all() or (kinds != GOOD).all():
         return CoTrained(1.0 if not len(kinds) or kinds[0] == GOOD else 0.0)
-    others = src.select("doc_id").distinct().join(known.select("doc_id"), "doc_id", "left_anti").orderBy(F.xxhash64(F.col("doc_id").cast("string"))).limit(max_pool)
-    pool = [r for r, _ in _sample(src.join(F.broadcast(others), "doc_id"), max_pool)]
-    return CoTrained().fit([r for r, _ in rows], kinds, pool)
+    others = _least(max_pool, docs, lambda near: src.filter(near).select("doc_id").distinct().join(known.filter(near).select("doc_id"), "doc_id", "left_anti"))
+    pool = [r for r, _ in _sample(src.join(F.broadcast(others), "doc_id"), max_pool, words)]
+    return CoTrained().fit([r for r, _ in rows], kinds, pool, list(words))
 
 
 def _scores(model: CoTrained, b: pa.RecordBatch, at: dict[str, int]):
