@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import small_batches
+from .common import id_hash, shares, small_batches, under
 
 HIDDEN, SEGMENT, PAD = 8, 96, 256
 MAX_LABELLED, WINDOW = 4_000, 400
@@ -194,11 +194,14 @@ class Network:
 
 def training_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_LABELLED) -> tuple[list[bytes], list[str]]:
     """Windows of a bounded sample of labelled texts that aren't held out, each at a place that depends on its id."""
-    t, i = F.col(text_col), F.col(id_col)
-    some = docs.filter(F.col(lang_col).isNotNull() & t.isNotNull() & i.isNotNull() & ~held_out(id_col) & t.rlike(r"\p{L}"))
-    order = F.xxhash64(i.cast("string"))
+    t, order = F.col(text_col), id_hash(id_col)
+    may = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     start = F.pmod(order, F.greatest(F.length(t) - WINDOW, F.lit(1))) + 1
-    rows = some.select(order.alias("o"), t.substr(start.cast("int"), F.lit(WINDOW)).alias("w"), F.col(lang_col).alias("lang")).orderBy("o", "w", "lang").limit(most).collect()
+    for share in shares(most, may.count()):
+        some = may.filter(under(order, share)).filter(t.isNotNull() & t.rlike(r"\p{L}"))
+        rows = some.select(order.alias("o"), t.substr(start.cast("int"), F.lit(WINDOW)).alias("w"), F.col(lang_col).alias("lang")).orderBy("o", "w", "lang").limit(most).collect()
+        if len(rows) == most:
+            break
     return [r["w"].encode() for r in rows if r["w"].strip()], [r["lang"] for r in rows if r["w"].strip()]
 
 
