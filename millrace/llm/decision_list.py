@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, whole_text
+from .common import id_hash, shares, small_batches, snapshot, under, whole_text
 
 MAX_LABELLED = 20_000
 MIN_PRECISION = 0.9
@@ -83,9 +83,13 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most: int = MAX_LABELLED) -> tuple[np.ndarray, np.ndarray]:
     """Ratios and badness (label 0) of a bounded sample of the labelled documents."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label_col).alias("y"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    for share in shares(most, labels.count()):
+        chosen = snapshot(known.filter(under(id_hash(), share)).orderBy(id_hash(), "doc_id").limit(most))
+        if chosen.count() == most:
+            break
+    known = chosen
     some = docs.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")  # bounded by most
-    f = features(some).dropDuplicates(["doc_id"]).join(F.broadcast(known), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
+    f = features(some).dropDuplicates(["doc_id"]).join(F.broadcast(known), "doc_id").orderBy(id_hash(), "doc_id")
     pdf = f.select(*[F.expr(e).cast("double").alias(k) for k, e in RATIOS.items()], "y").toPandas()
     return pdf[list(RATIOS)].to_numpy(), (pdf["y"] == 0).to_numpy()
 
