@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
     at = tmp_path_factory.mktemp("spark")
     s = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master(os.environ.get("TEST_MASTER", "local[4]"))
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
