@@ -39,6 +39,7 @@ SLACK = 0.25
 SKETCH = ["s0", "s1", "s2", "s3"]
 #: A hub's members are dealt into blocks of a sixteenth of their shingles, but no fewer and no more shingles than this.
 BLOCK = (20_000, 400_000)
+SALTS = 16
 #: Columns of the dense matrices whose product counts shared shingles.
 COLUMNS = 2048
 #: Up to this many ids (8 bytes each) are broadcast to pick texts out; more go by a shuffle.
@@ -249,7 +250,9 @@ def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataF
     hubs = sizes.groupBy("hub").agg(F.max(F.struct("k", "label", "t")).alias("m"), F.sum("t").alias("t"))
     block = F.least(F.greatest(F.col("t") / 16, F.lit(BLOCK[0])), F.lit(BLOCK[1]))
     hubs = hubs.select("hub", F.col("m.label").alias("main"), F.ceil((F.col("t") - F.col("m.t")) / block).cast("int").alias("no"), F.ceil(F.col("m.t") / block).cast("int").alias("ni"))
-    rows = group.join(hubs, "hub").withColumn("in", F.col("label") == F.col("main"))
+    # A hub may hold a large part of all rows: its rows are dealt over this many join keys.
+    hubs = hubs.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = group.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(hubs, ["hub", "salt"]).withColumn("in", F.col("label") == F.col("main"))
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     rows = rows.withColumn("b", F.when(F.col("in"), F.col("no") + number("ni")).otherwise(number("no")))
     rows = rows.withColumn("c", F.explode(F.sequence(F.lit(0), F.when(F.col("in"), F.col("no") - 1).otherwise(F.col("no") + F.col("ni") - 1))))
@@ -335,3 +338,22 @@ def keep_first(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str =
     kept = near_groups(docs, words, percent, id_col, text_col).filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col))
     some = docs.filter(F.col(id_col).isNotNull()).join(kept.distinct(), id_col, "left_semi").dropDuplicates([id_col])
     return some.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+
+
+def oracle_sql(words: int = 4, percent: int = 80) -> str:
+    """DuckDB: pairs that share one of their rarest shingles, compared on full sets, and what is reachable."""
+    return rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT rid, doc_id, unnest(CASE WHEN len(w) >= {words} THEN list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT rid, doc_id, count(*) AS n FROM s GROUP BY rid, doc_id),
+rare AS (SELECT rid, doc_id, g, n, row_number() OVER (PARTITION BY rid ORDER BY f, g) AS r FROM s JOIN n USING (rid, doc_id) JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g) WHERE doc_id IS NOT NULL),
+may AS (SELECT DISTINCT x.rid AS a, y.rid AS b, x.n AS na, y.n AS nb FROM rare x JOIN rare y ON x.g = y.g AND x.rid < y.rid AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)
+        WHERE x.r <= x.n - ceil({percent} / 100.0 * x.n) + 1 AND y.r <= y.n - ceil({percent} / 100.0 * y.n) + 1),
+common AS (SELECT a, b, na, nb, count(*) AS k FROM may JOIN s x ON x.rid = a JOIN s y ON y.rid = b AND y.g = x.g GROUP BY ALL),
+e AS (SELECT x.doc_id AS a, y.doc_id AS b FROM common JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * k >= {percent} * (na + nb - k)),
+edge AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach(node, other) AS (SELECT a, b FROM edge UNION SELECT r.node, edge.b FROM reach r JOIN edge ON edge.a = r.other),
+low AS (SELECT node, least(node, min(other)) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, d.doc_id IS NOT DISTINCT FROM coalesce(component_id, d.doc_id) AS kept
+FROM d LEFT JOIN n ON n.rid = d.rid LEFT JOIN low ON low.node = d.doc_id
+"""
