@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import pretok
 from .bpe import spread
-from .common import small_batches, snapshot, whole_text
+from .common import small_batches, snapshot, under, whole_text
 
 LENGTH, GRAM = 50, 20
 SIDE = LENGTH - GRAM
@@ -42,6 +42,8 @@ PACK_BYTES = 4_000_000
 HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 100_000
 #: Bits of an anchor's hash. Two anchors of one hash are taken for repeated, and told apart when their suffixes are merged.
 HASH_BITS = 48
+#: Splitters are chosen from some hundred suffixes of each of about as many runs as this.
+SAMPLED_RUNS = 500
 NO_ID = 2**63 - 1
 _ZSTD = pa.Codec("zstd", compression_level=6)
 
@@ -436,8 +438,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     answers = offers.groupBy("range").applyInArrow(_meet, "pack bigint, range bigint, mask binary")
     masks = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "mask")).alias("masks"))
     runs = snapshot(packs.join(masks, "pack").select("pack", "ids", "sizes", "data", "masks").mapInArrow(_sorted_runs(bits), _RUN))
-    n = runs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sample = sorted(x for r in runs.orderBy(F.xxhash64("pack")).limit(500).select("sample").toLocalIterator() for x in (r[0][i : i + GRAM] for i in range(0, len(r[0]), GRAM)))
+    n, n_runs = runs.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    some = runs.filter(under(F.xxhash64("pack"), SAMPLED_RUNS / max(1, n_runs)))
+    sample = sorted(x for r in some.select("sample").toLocalIterator() for x in (r[0][i : i + GRAM] for i in range(0, len(r[0]), GRAM)))
     parts = max(1, min(len(sample), -(-n // SUFFIXES_A_RANGE)))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     cut = runs.select("pack", "shared", "rest", "least").mapInArrow(_cut(splitters), "range bigint, pack bigint, from bigint, shared binary, rest binary, least binary")
@@ -456,3 +459,21 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
     )
+
+
+def oracle_sql() -> str:
+    """DuckDB: every string of LENGTH bytes with the smallest id that it starts in, then runs of covered bytes and what lies
+    between them."""
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS did, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+spot AS (SELECT rid, did, unnest(range(0, length(h) // 2 - {LENGTH - 1})) AS p, h FROM d WHERE length(h) >= {2 * LENGTH}),
+win AS (SELECT rid, did, p, hash(substr(h, 2 * p + 1, {2 * LENGTH})) AS k1, md5_number(substr(h, 2 * p + 1, {2 * LENGTH})) AS k2 FROM spot),
+low AS (SELECT k1, k2, min(did) AS least FROM win GROUP BY k1, k2 HAVING min(did) < max(did)),
+hit AS (SELECT rid, p FROM win JOIN low USING (k1, k2) WHERE did > least),
+mark AS (SELECT rid, p, CASE WHEN p - lag(p, 1, -{2 * LENGTH}) OVER (PARTITION BY rid ORDER BY p) > {LENGTH} THEN 1 ELSE 0 END AS new FROM hit),
+runs AS (SELECT rid, g, min(p) AS a, max(p) + {LENGTH} AS z FROM (SELECT rid, p, sum(new) OVER (PARTITION BY rid ORDER BY p) AS g FROM mark) GROUP BY rid, g),
+gaps AS (SELECT rid, a, z, lag(z, 1, 0) OVER (PARTITION BY rid ORDER BY a) AS before FROM runs),
+cut AS (SELECT rid, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans, max(z) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM gaps JOIN d USING (rid) GROUP BY rid)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN cut USING (rid)
+"""
