@@ -53,4 +53,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_secret_scan": secret_scan.oracle_sql(), "op8_url_filter": url_rules.oracle_sql()}
+    return {"op1_secret_scan": secret_scan.oracle_sql(), "op4_suffix_merge": suffix_dedup.oracle_sql(), "op7_hyperminhash": near_dedup.oracle_sql(), "op8_url_filter": url_rules.oracle_sql()}

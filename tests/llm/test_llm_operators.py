@@ -124,6 +124,15 @@ def test_classifier(spark, docs, nothing):
     assert quality_cotrain.classify(nothing, lab).count() == 0
 
 
+def test_samples_are_those_of_least_hash(spark):
+    from millrace.llm.common import id_hash
+
+    d = spark.range(5000).select(F.col("id").alias("doc_id"))
+    for rows, most in ((d, 100), (d, 6000), (d.filter("doc_id % 500 = 3"), 8), (d.limit(0), 5)):
+        got = quality_cotrain._least(most, d, lambda near, rows=rows: rows.filter(near))
+        assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in rows.orderBy(id_hash()).limit(most).collect())
+
+
 def repeated(rows, length):
     first = {}
     for i, t in sorted(((float("inf") if i is None else i), t or "") for i, t in rows):
@@ -275,6 +284,31 @@ def test_chains_and_stars_of_near_copies(spark):
     assert counted(near_dedup.near_groups(d), "doc_id", "n_shingles", "component_id", "kept") == groups(made, 4, 80)
 
 
+def test_shared_elements_are_counted():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        top = int(r.integers(5, 400))
+        xs, ys = ([np.unique(r.integers(0, top, r.integers(0, 60)).astype(np.uint64)) for _ in range(int(r.integers(1, 40)))] for _ in range(2))
+        assert (near_dedup.overlaps(xs, ys) == np.array([[len(np.intersect1d(x, y)) for y in ys] for x in xs])).all()
+
+
+def test_blocks_of_a_large_group(spark, monkeypatch):
+    """Many copies of one text, half of them too far from it, in blocks of a few texts."""
+    monkeypatch.setattr(near_dedup, "BLOCK", (500, 1000))
+    r = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+    made = [(0, " ".join(base))]
+    for i in range(1, 160):
+        own = list(base)
+        for k in r.sample(range(150), r.choice([2, 3, 8, 9])):
+            own[k] = f"x{r.randrange(3)}"
+        made.append((i, " ".join(own)))
+    d = spark.createDataFrame(made, "doc_id long, text string")
+    want = groups(made, 4, 80)
+    assert counted(near_dedup.near_groups(d), "doc_id", "n_shingles", "component_id", "kept") == want
+    assert 5 < len({k[2] for k in want}) < 150
+
+
 def test_components_of_a_long_chain(spark):
     n = 500
     e = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(1000, 2000)], "a long, b long"))

@@ -21,7 +21,7 @@ def test_pipeline(spark, data):
         assert at.columns == docs.columns
         seen.append(at.count())
     assert seen[0] > seen[1] > seen[2] >= seen[3] == seen[4] > 0
-    from tests.llm.test_operators import groups
+    from tests.llm.test_llm_operators import groups
 
     left = [(r.doc_id, r.text) for r in corpus_pipeline.quality(spark, docs, data).collect()]
     assert seen[2] == sum(k[3] for k in groups(left, corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT))
