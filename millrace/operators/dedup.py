@@ -38,20 +38,21 @@ def probe(new: DataFrame, index: DataFrame, id_col: str = "id", most_bits: int =
     return left.join(right, ["no", "key"]).filter(hamming(F.col("h"), F.col("o")) <= most_bits).select(id_col).distinct()
 
 
-def greedy_keep(prints: DataFrame, pairs: DataFrame, id_col: str = "id") -> DataFrame:
+def greedy_keep(prints: DataFrame, pairs: DataFrame | None = None, id_col: str = "id", most_bits: int = 3) -> DataFrame:
     """Ids kept if documents arrive by id and one is dropped when a kept one is near: the first maximal independent set.
 
     Rounds: a node all of whose earlier neighbours are dropped is kept, one with a kept earlier neighbour is dropped. Each
     round is written to the checkpoint folder and decides the first open node of each component at least; the number of
-    rounds is the longest chain of waiting, not the number of documents.
+    rounds is the longest chain of waiting, not the number of documents. Pairs are sought here if they aren't given.
     """
     spark = prints.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         import tempfile
 
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
-    nodes = prints.groupBy("simhash").agg(F.min(id_col).alias("id")).select("id")
-    edges = pairs.select("a", "b").checkpoint()
+    firsts = prints.groupBy("simhash").agg(F.min(id_col).alias("id")).checkpoint()
+    nodes = firsts.select("id")
+    edges = (near_pairs(firsts, "id", most_bits) if pairs is None else pairs).select("a", "b").checkpoint()
     state = nodes.join(edges.select(F.col("b").alias("id")).distinct().withColumn("waits", F.lit(True)), "id", "left").select("id", F.when(F.col("waits"), None).otherwise(True).alias("kept")).checkpoint()
     while state.filter("kept IS NULL").limit(1).count():
         seen = edges.join(state.toDF("a", "ka"), "a").groupBy("b").agg(F.bool_or("ka").alias("any_kept"), F.count_if(F.col("ka").isNull()).alias("open"))

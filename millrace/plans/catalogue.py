@@ -245,8 +245,7 @@ def JON07_neardup_pairs(spark, sf_dir):
 
 @query()
 def JON07_neardup_greedy(spark, sf_dir):
-    p = prints(spark, sf_dir)
-    return dedup.greedy_keep(p, dedup.near_pairs(p))
+    return dedup.greedy_keep(prints(spark, sf_dir))
 
 
 @query()
