@@ -50,7 +50,7 @@ def look(text: str, n_chars: int | None = None) -> tuple[set[bytes], list[float]
     blank = max(1, data.count(b" ") + data.count(b"\n"))
     again = sum(map(bytes.__eq__, words, words[1:])) / n
     short = min(1.0, n / 50)  # short texts repeat less
-    lexical = [len(own) / n * short, again, min(1.0, 4 * without(CAPITALS) / max(1, len(data))), min(1.0, without(SYMBOLS) / blank), math.log1p(sum(map(len, words)) / n) / 3, short]
+    lexical = [len(own) / n * short, again, min(1.0, 4 * without(CAPITALS) / max(1, len(data))), min(1.0, without(SYMBOLS) / blank), math.log1p(sum(map(len, words)) / n) / 3, short, float(n)]
     layout = [math.log1p(len(text) if n_chars is None else max(0, n_chars)) / 10, len(text) / len(data) if data else 1.0, math.log1p(len(data) / k) / 8, (len(lines) - len(set(lines))) / k, min(1.0, data.count(b" | ") / blank * 3), min(1.0, without(PUNCTUATION) / blank), min(1.0, data.count(b"!!") / blank), min(1.0, without(SYMBOLS) / max(1, len(data)) * 5)]
     return own, lexical, layout
 
@@ -77,10 +77,10 @@ def logits(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class TextView:
-    """Telling words, each with a weight of evidence (smoothed log odds), and the logistic model over their sums."""
+    """Telling words, each with its share of bad texts and its rate in others, and the logistic model over their evidence."""
 
-    def learn_words(self, rows: list[np.ndarray], names: list[bytes], kinds: np.ndarray) -> None:
-        """rows: the numbers of each text's distinct words; names: all words by number."""
+    def learn_words(self, rows: list[np.ndarray], sizes: np.ndarray, names: list[bytes], kinds: np.ndarray) -> None:
+        """rows: the numbers of each text's distinct words; sizes: their lengths in words; names: all words by number."""
         self.words = {}
         count = lambda which: np.bincount(np.concatenate([rows[i] for i in np.flatnonzero(which)] or [np.empty(0, np.int32)]), minlength=len(names))
         for kind in (POOR, TOXIC):
@@ -88,23 +88,34 @@ class TextView:
             a, b, nb, ng = count(bad), count(~bad), max(1, int(bad.sum())), max(1, int((~bad).sum()))
             q = (a + b) / (nb + ng)
             z = (a / nb - b / ng) / np.sqrt(q * (1 - q) * (1 / nb + 1 / ng) + 1e-12)
-            # Long texts hold all words more often, so a word of bad texts must be rare in the others as well.
             telling = np.flatnonzero((a >= LEAST_DOCS) & (a / nb > 20 * (b + 0.5) / ng) & (z > LEAST_Z))
-            evidence = np.log((a + 0.5) / (nb + 1)) - np.log((b + 0.5) / (ng + 1))
-            self.words |= {names[i]: float(evidence[i]) for i in sorted(telling, key=lambda i: (-z[i], names[i]))[: MAX_WORDS // 2]}
-
-    def weights(self, names: list[bytes]) -> np.ndarray:
-        return np.array([self.words.get(w, 0.0) for w in names])
-
-    @staticmethod
-    def row(hit: list[float], lexical: list[float]) -> list[float]:
-        return [min(sum(hit), 20.0) / 5, max(hit, default=0.0) / 5, min(len(hit), 5) / 5, *lexical]
+            chosen = sorted(telling, key=lambda i: (-z[i], names[i]))[: MAX_WORDS // 2]
+            total = max(1.0, float(sizes[~bad].sum()))
+            for i in chosen:
+                self.words.setdefault(names[i], (float((a[i] + 0.5) / (nb + 1)), float((b[i] + 0.5) / total)))
+        self.share, self.rate = (np.array([v[k] for v in self.words.values()]) for k in (0, 1))
+        self.place = {w: k for k, w in enumerate(self.words)}
+
+    def row(self, hit: list[int], lexical: list[float]) -> list[float]:
+        """hit: the places of the telling words that the text holds. A long text holds some by accident: a word's evidence
+        is less the likelier that is at this length, and what is expected of accident is taken off."""
+        *ratios, n = lexical
+        if not len(self.share):
+            return [0.0, 0.0, 0.0, *ratios]
+        chance = -np.expm1(-self.rate * n)
+        evidence = np.log1p(self.share * (1 - chance) / chance)
+        own = evidence[hit]
+        over = [float(own.sum() - chance @ evidence), float(own.max(initial=0.0)), float(len(hit) - chance.sum())]
+        return [min(max(over[0], -10.0), 30.0) / 5, over[1] / 5, min(max(over[2], -5.0), 5.0) / 5, *ratios]
+
+    def places(self, names: list[bytes]) -> np.ndarray:
+        return np.array([self.place.get(w, -1) for w in names], np.int64)
 
     def fit(self, rows: list[list[float]], y: np.ndarray) -> None:
         self.w = logistic(np.array(rows), y)
 
     def matrix(self, seen: list[tuple[set[bytes], list[float]]]) -> np.ndarray:
-        return np.array([self.row([self.words[w] for w in own & self.words.keys()], lexical) for own, lexical in seen])
+        return np.array([self.row([self.place[w] for w in own & self.place.keys()], lexical) for own, lexical in seen])
 
 
 class PageView:
@@ -139,12 +150,12 @@ class CoTrained:
         cal = np.arange(len(rows)) % 3 == 2
         train = [r for r, c in zip(rows, cal, strict=True) if not c]
         self.text, self.page = TextView(), PageView()
-        self.text.learn_words([r[0] for r in train], names, kinds[~cal])
-        weights = self.text.weights(names)
+        self.text.learn_words([r[0] for r in train], np.array([r[1][-1] for r in train]), names, kinds[~cal])
+        places = self.text.places(names)
 
         def text(r) -> list[float]:
-            w = weights[r[0]]
-            return self.text.row(w[w > 0].tolist(), r[1])
+            w = places[r[0]]
+            return self.text.row(w[w >= 0].tolist(), r[1])
 
         page = lambda r: (r[3], r[4], r[2])
         sets = {"text": ([text(r) for r in train], list(y[~cal])), "page": ([page(r) for r in train], list(y[~cal]))}
