@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..functions import fingerprint as fp
@@ -59,6 +61,13 @@ def _lit(s: str) -> str:
 EXT_SQL = ARTICLES_SQL + ", ext AS (SELECT * REPLACE (CASE id % 7 " + " ".join(f"WHEN {k} THEN concat(content_md, {_lit(v)})" for k, v in EXTRA.items()) + " WHEN 6 THEN left(content_md, 90) ELSE content_md END AS content_md) FROM articles)"
 
 
+def also(name: str, f, sql: str | None = None, **kw) -> None:
+    """Registers a query again under another name, with other arguments and the SQL that goes with them."""
+    Q[name] = partial(f, **kw)
+    if sql is not None:
+        SQL[name] = sql
+
+
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,13 +81,19 @@ def articles(spark, sf_dir):
     )
 
 
-def articles_ext(spark, sf_dir):
+def articles_ext(spark, sf_dir, prefix: int | None = 90):
+    """Articles with what is added; texts of remainder 6 are cut to a prefix, or whole where that is None."""
     a, text = articles(spark, sf_dir), F.col("content_md")
     out = None
     for k, v in EXTRA.items():
         hit, to = F.col("id") % 7 == k, F.concat(text, F.lit(v))
         out = F.when(hit, to) if out is None else out.when(hit, to)
-    return a.withColumn("content_md", out.when(F.col("id") % 7 == 6, F.left(text, F.lit(90))).otherwise(text))
+    if prefix is not None:
+        out = out.when(F.col("id") % 7 == 6, F.left(text, F.lit(prefix)))
+    return a.withColumn("content_md", out.otherwise(text))
+
+
+articles_whole = partial(articles_ext, prefix=None)
 
 
 def as_of():
@@ -106,31 +121,36 @@ SCORE_SQL = "round(greatest(0.0, least(1.0, least(len / 3000.0::DOUBLE, 1.0) * 0
 
 
 @query(f"WITH {FEATURES_SQL} SELECT reason, count(*) AS n FROM gate GROUP BY reason")
-def gate_histogram(spark, sf_dir):
+def gate_histogram(spark, sf_dir, ext=articles_ext):
     """AGG13: rows by the gate's verdict, most first."""
-    return tx.assess(articles_ext(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
+    return tx.assess(ext(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, reason, reason IN ('code_rich', 'ok') AS keep FROM gate")
-def FLT03_gate_rows(spark, sf_dir):
-    return tx.assess(articles_ext(spark, sf_dir)).select("id", "reason", "keep")
+def FLT03_gate_rows(spark, sf_dir, ext=articles_ext):
+    return tx.assess(ext(spark, sf_dir)).select("id", "reason", "keep")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, len, n_words, code_chars::BIGINT AS code_chars, round(link_ratio, 4) AS link_ratio, round(unique_ratio, 4) AS unique_ratio, spam, help FROM features")
-def FN07_text_features(spark, sf_dir):
-    d = articles_ext(spark, sf_dir)
+def FN07_text_features(spark, sf_dir, ext=articles_ext):
+    d = ext(spark, sf_dir)
     f = d.withColumns(tx.features(F.col("content_md")))
     return f.select("id", F.col("len").cast("long").alias("len"), F.col("n_words").cast("long").alias("n_words"), F.col("code_chars").cast("long").alias("code_chars"), F.round("link_ratio", 4).alias("link_ratio"), F.round("unique_ratio", 4).alias("unique_ratio"), "spam", "help")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, {SCORE_SQL} AS quality_score FROM features WHERE content_md <> ''")
-def FN12_quality_score(spark, sf_dir):
-    return tx.assess(articles_ext(spark, sf_dir)).filter("quality_score IS NOT NULL").select("id", "quality_score")
+def FN12_quality_score(spark, sf_dir, ext=articles_ext):
+    return tx.assess(ext(spark, sf_dir)).filter("quality_score IS NOT NULL").select("id", "quality_score")
 
 
 @query(f"""WITH {EXT_SQL} SELECT id, sha256(regexp_replace(regexp_replace(content_md, '{_P["fence"]}', ' ', 'g'), '{_P["inline"]}', ' ', 'g')) AS digest FROM ext""")
-def FN11_strip_code(spark, sf_dir):
-    return articles_ext(spark, sf_dir).select("id", F.sha2(tx.strip_code(F.col("content_md")), 256).alias("digest"))
+def FN11_strip_code(spark, sf_dir, ext=articles_ext):
+    return ext(spark, sf_dir).select("id", F.sha2(tx.strip_code(F.col("content_md")), 256).alias("digest"))
+
+
+# The same over whole texts: the SQL of those above cuts the texts of remainder 6.
+for _f in (gate_histogram, FLT03_gate_rows, FN07_text_features, FN12_quality_score, FN11_strip_code):
+    also(f"{_f.__name__}_whole", _f, SQL[_f.__name__].replace(" WHEN 6 THEN left(content_md, 90)", ""), ext=articles_whole)
 
 
 # Dashboard -----------------------------------------------------------------------------------------------------------
@@ -509,7 +529,7 @@ def SNK11_sharegpt(spark, sf_dir):
 
 
 def _chunk_articles(spark, sf_dir):
-    a = articles_ext(spark, sf_dir)
+    a = articles_whole(spark, sf_dir)
     return a.withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
 
 
