@@ -528,8 +528,8 @@ def SNK11_sharegpt(spark, sf_dir):
 # Chunks, vectors -----------------------------------------------------------------------------------------------------
 
 
-def _chunk_articles(spark, sf_dir):
-    a = articles_whole(spark, sf_dir)
+def _chunk_articles(spark, sf_dir, ext=articles_whole):
+    a = ext(spark, sf_dir)
     return a.withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
 
 
@@ -549,6 +549,12 @@ def WIN05_single_chunks(spark, sf_dir):
     return rag.chunks(short, after_id=100).select("chunk_id", "article_id", "n_chunks", "text")
 
 
+@query()
+def WIN05_chunks(spark, sf_dir):
+    """Incremental export (FLT09) of all articles, of one chunk or many."""
+    return rag.chunks(_chunk_articles(spark, sf_dir, articles), after_id=100).select("chunk_id", "article_id", "chunk_index", "n_chunks", "text")
+
+
 VECTORS_SQL = "vectors AS (SELECT concat('c', vec_id) AS chunk_id, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)"
 
 

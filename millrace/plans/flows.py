@@ -10,7 +10,7 @@ from ..functions.markdown import unescape
 from ..operators import dashboard as db
 from ..operators import dedup, monitor, qa, rag, store
 from ..sources import adapters
-from .catalogue import _REJ, ARTICLES_SQL, EVENTS_AS_OF, HOURS_SQL, OUTCOMES_SQL, RUNS_SQL, SAMPLES_SQL, SIMHASH_SQL, TRIM, VECTORS_SQL, _naive, articles, articles_ext, outcomes, prints, query, runs, snapshots, source_deltas, table, vectors
+from .catalogue import _REJ, ARTICLES_SQL, EVENTS_AS_OF, HOURS_SQL, OUTCOMES_SQL, RUNS_SQL, SAMPLES_SQL, SIMHASH_SQL, TRIM, VECTORS_SQL, _chunk_articles, _naive, articles, articles_ext, outcomes, prints, query, runs, snapshots, source_deltas, table, vectors
 
 # Sources -------------------------------------------------------------------------------------------------------------
 
@@ -305,6 +305,20 @@ def WIN08_heading_paths(spark, sf_dir):
     return c.select("article_id", F.array_join("heading_path", "/").alias("path"), "chunk_index")
 
 
+@query()
+def SNK12_chunk_lines_whole(spark, sf_dir):
+    """SNK12, FLT13, AGG16: the JSON lines of all articles' chunks."""
+    c = rag.chunks(_chunk_articles(spark, sf_dir, articles)).withColumn("n", F.length("text"))
+    return db.as_json(c, ["chunk_id", "article_id", "heading_path", "chunk_index", "n_chunks", "n"])
+
+
+@query()
+def WIN08_heading_paths_whole(spark, sf_dir):
+    """FN17, WIN08, WIN05: where all articles' chunks under headings stand."""
+    c = rag.chunks(_chunk_articles(spark, sf_dir), min_chars=1).filter(F.size("heading_path") > 0)
+    return c.select("article_id", F.array_join("heading_path", "/").alias("path"), "chunk_index")
+
+
 # Streams -------------------------------------------------------------------------------------------------------------
 
 

@@ -1,5 +1,8 @@
 """Queries over whole inputs: nothing is cut or filtered out before the operator."""
 
+import json
+import re
+
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
@@ -22,3 +25,52 @@ def test_gate_sees_whole_texts(spark, data):
 def test_too_short(spark):
     df = spark.createDataFrame([(1, "a short note of some ten words is all there is"), (2, " ".join(a + b + a for a in "abcdefghijkl" for b in "abcdefghij"))], "id long, content_md string")
     assert {r.id: r.reason for r in tx.assess(df).collect()} == {1: "too_short", 2: "ok"}
+
+
+def _chunks(text, least, target=1200, overlap=150):
+    """(text, path) of each chunk, one paragraph after the other."""
+    sections, path, lines = [], [], []
+    for line in text.splitlines():
+        if m := re.match(r"(#{1,6})\s+(.*\S)\s*$", line):
+            sections.append((path, "\n".join(lines).strip()))
+            path, lines = path[: len(m[1]) - 1] + [m[2]], []
+        lines.append(line)
+    sections.append((path, "\n".join(lines).strip()))
+    out = []
+    for path, body in sections:
+        if len(body) <= target:
+            out.append((body, path))
+            continue
+        paras, head = [p.strip() for p in re.split(r"\n\s*\n", body)], []
+        while paras and all(re.match(r"#{1,6}\s+\S", x) for x in paras[0].splitlines()):
+            head.append(paras.pop(0))
+        held = []
+        for p in paras:
+            if held and len("\n\n".join([*held, p])) > target:
+                out.append(("\n\n".join(head + held), path))
+                tail = []
+                while held and sum(len(x) + 2 for x in [held[-1], *tail]) <= overlap:
+                    tail.insert(0, held.pop())
+                held = tail
+            held.append(p)
+        out.append(("\n\n".join(head + held), path))
+    return [(x, path) for x, path in out if x and len(x) >= least]
+
+
+def test_chunk_exports_cover_long_articles(spark, tmp_path):
+    para = lambda n, k: f"p{k} " + "word " * n
+    texts = {
+        1: "tiny", 103: "one paragraph that is a single chunk of its own", 105: "\n\n".join(para(20, k) for k in range(60)),
+        110: "\n\n".join(para(5 + k % 90, k) for k in range(80)), 124: "# A\n\n" + "\n\n".join(para(50, k) for k in range(20)) + "\n## B\nshort end of the text, under B",
+        131: "x" * 5000, 140: "# One\n\n# Two\n\n" + "\n\n".join(para(9, k) for k in range(90)), 152: "\n\n".join(para(300, k) for k in range(4)),
+    }
+    spark.createDataFrame([(k, v, "en", "src1", len(v)) for k, v in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {k: _chunks(v, 30) for k, v in texts.items()}
+    assert sum(len(c) > 1 for c in want.values()) >= 5
+    got = {(r.article_id, r.chunk_index): (r.n_chunks, r.text) for r in Q["WIN05_chunks"](spark, str(tmp_path)).collect()}
+    assert got == {(k, i): (len(c), x) for k, c in want.items() if k > 100 for i, (x, _) in enumerate(c)}
+    lines = [json.loads(r.value) for r in Q["SNK12_chunk_lines_whole"](spark, str(tmp_path)).collect()]
+    assert sorted((x["article_id"], x["chunk_index"], x["n_chunks"], x["n"], x["heading_path"]) for x in lines) == sorted((k, i, len(c), len(x), p) for k, c in want.items() for i, (x, p) in enumerate(c))
+    ext = {k: _chunks(v + catalogue.EXTRA.get(k % 7, ""), 1) for k, v in texts.items()}
+    paths = sorted((r.article_id, r.path, r.chunk_index) for r in Q["WIN08_heading_paths_whole"](spark, str(tmp_path)).collect())
+    assert paths == sorted((k, "/".join(p), i) for k, c in ext.items() for i, (_, p) in enumerate(c) if p)
