@@ -31,6 +31,21 @@ def near_pairs(prints: DataFrame, id_col: str = "id", most_bits: int = 3) -> Dat
     return near.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance")).distinct()
 
 
+def near_members(prints: DataFrame, pairs: DataFrame | None = None, id_col: str = "id", most_bits: int = 3, salts: int = 16) -> DataFrame:
+    """id, representative, links: for each document the first of its fingerprint and how many pairs that one is in.
+
+    With the pairs of near_pairs no link is lost: documents of one representative are at distance 0, and what holds for
+    it holds for them. A fingerprint that many documents have is dealt over salts.
+    """
+    firsts = prints.groupBy("simhash").agg(F.min(id_col).alias("representative"))
+    near = near_pairs(prints, id_col, most_bits) if pairs is None else pairs
+    links = near.select(F.explode(F.array("a", "b")).alias("representative")).groupBy("representative").agg(F.count("*").alias("links"))
+    known = firsts.join(links, "representative", "left").select("simhash", "representative", F.coalesce("links", F.lit(0)).alias("links"))
+    known = known.withColumn("salt", F.explode(F.array(*map(F.lit, range(salts)))))
+    own = prints.select(id_col, "simhash", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int").alias("salt"))
+    return own.join(known, ["simhash", "salt"]).select(id_col, "representative", "links")
+
+
 def probe(new: DataFrame, index: DataFrame, id_col: str = "id", most_bits: int = 3) -> DataFrame:
     """Ids of new fingerprints within most_bits of an indexed one."""
     left = new.select(F.col(id_col), F.col("simhash").alias("h"), F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))

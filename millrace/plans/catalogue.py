@@ -263,6 +263,12 @@ def JON07_neardup_pairs(spark, sf_dir):
     return dedup.near_pairs(prints(spark, sf_dir))
 
 
+@query()
+def JON07_neardup_members(spark, sf_dir):
+    """What JON07_neardup_pairs leaves out: which documents each representative stands for."""
+    return dedup.near_members(prints(spark, sf_dir))
+
+
 @query()
 def JON07_neardup_greedy(spark, sf_dir):
     return dedup.greedy_keep(prints(spark, sf_dir))

@@ -6,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
+from millrace.operators import dedup
 from millrace.plans import catalogue
 
 Q = catalogue.queries()
@@ -74,3 +75,13 @@ def test_chunk_exports_cover_long_articles(spark, tmp_path):
     ext = {k: _chunks(v + catalogue.EXTRA.get(k % 7, ""), 1) for k, v in texts.items()}
     paths = sorted((r.article_id, r.path, r.chunk_index) for r in Q["WIN08_heading_paths_whole"](spark, str(tmp_path)).collect())
     assert paths == sorted((k, "/".join(p), i) for k, c in ext.items() for i, (_, p) in enumerate(c) if p)
+
+
+def test_near_members_lose_no_link(spark):
+    prints = [(1, 0), (2, 0), (3, 7), (4, 7), (5, 1 << 40 | 0xFF00), (6, -1), (7, 0), (8, -2)]
+    df = spark.createDataFrame(prints, "id long, simhash long")
+    near = {(a, b) for a, x in prints for b, y in prints if a < b and ((x ^ y) & (2**64 - 1)).bit_count() <= 3}
+    pairs = {(r.a, r.b) for r in dedup.near_pairs(df).collect()}
+    got = {r.id: (r.representative, r.links) for r in dedup.near_members(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 7: (1, 1), 3: (3, 1), 4: (3, 1), 5: (5, 0), 6: (6, 1), 8: (8, 1)}
+    assert near == {(a, b) for a in got for b in got if a < b and (got[a][0] == got[b][0] or tuple(sorted((got[a][0], got[b][0]))) in pairs)}
