@@ -15,7 +15,7 @@ from .. import schemas
 from ..functions.fingerprint import simhash_blake2b
 from ..functions.scalars import url_hash
 from ..functions.text import Gate, assess
-from ..operators.dedup import first_wins, probe
+from ..operators.dedup import first_wins, greedy_keep, probe
 from ..operators.language import with_language
 from ..operators.store import dead_letters, number_after
 
@@ -51,9 +51,10 @@ class Ingest:
         try:
             fresh = judged.filter("keep AND known IS NULL").select("msg_id", "simhash")
             near = probe(fresh, known.select(F.col("content_hash").alias("simhash")).filter("simhash IS NOT NULL"), "msg_id", self.most_bits)
-            # Within a batch only equal fingerprints are duplicates; the first one stays.
-            again = fresh.join(first_wins(judged.filter(F.col("keep") & F.col("known").isNull() & F.col("language").isin(*self.languages)), ["simhash"], ["msg_id"]).select("msg_id"), "msg_id", "left_anti")
-            dup = near.union(again.select("msg_id")).distinct().withColumn("dup", F.lit(True))
+            # What no stored article is near arrives in the order of msg_id: a message that a kept one of the batch is near is dropped.
+            arrives = judged.filter(F.col("keep") & F.col("known").isNull() & F.col("language").isin(*self.languages)).select("msg_id", "simhash")
+            kept = greedy_keep(arrives.join(near, "msg_id", "left_anti"), id_col="msg_id", most_bits=self.most_bits)
+            dup = fresh.join(kept, "msg_id", "left_anti").select("msg_id").withColumn("dup", F.lit(True))
             outcome = F.when(F.col("known"), "seen").when(~F.col("keep"), F.col("reason")).when(~F.col("language").isin(*self.languages), "lang").when(F.col("dup"), "dup").otherwise("stored")
             done = judged.join(dup, "msg_id", "left").withColumn("outcome", outcome).persist()
             now = F.current_timestamp()

@@ -6,8 +6,10 @@ import re
 from pyspark.sql import functions as F
 
 from millrace.functions import text as tx
+from millrace.functions.fingerprint import simhash_of
 from millrace.operators import dedup
 from millrace.plans import catalogue
+from millrace.streaming.ingest import Ingest
 
 Q = catalogue.queries()
 
@@ -85,3 +87,22 @@ def test_near_members_lose_no_link(spark):
     got = {r.id: (r.representative, r.links) for r in dedup.near_members(df).collect()}
     assert got == {1: (1, 1), 2: (1, 1), 7: (1, 1), 3: (3, 1), 4: (3, 1), 5: (5, 0), 6: (6, 1), 8: (8, 1)}
     assert near == {(a, b) for a in got for b in got if a < b and (got[a][0] == got[b][0] or tuple(sorted((got[a][0], got[b][0]))) in pairs)}
+
+
+def test_outcomes_do_not_depend_on_batches(spark, tmp_path):
+    words = " ".join(f"{a}{b}{a}" + " the" * (k % 6 == 0) + " of" * (k % 7 == 0) for k, (a, b) in enumerate((a, b) for a in "abcdefghijkl" for b in "mnopqrstuv"))
+    others = (f"{words} {a}{b}{c}" for a in "xyz" for b in "abcdefgh" for c in "ijklmnop")
+    near = [t for t in others if 0 < (simhash_of(t) ^ simhash_of(words)).bit_count() <= 3][:2]
+    assert len(near) == 2
+    far = words[::-1].replace("eht", "the").replace("fo", "of")
+    rows = [(f"{i:03d}", json.dumps({"url": f"https://x.example/{i}", "title": "t", "source_type": "s", "content_md": t})) for i, t in enumerate([words, near[0], far, near[1], words])]
+
+    def outcomes(name, cuts):
+        job = Ingest(f"{tmp_path}/{name}")
+        for k, (a, z) in enumerate(cuts):
+            job.batch(spark.createDataFrame(rows[a:z], "msg_id string, value string"), k)
+        return {r.msg_id: r.outcome for r in job.table(spark, "outcomes").collect()}
+
+    once = outcomes("once", [(0, 5)])
+    assert once["000"] == "stored" and once["001"] == once["003"] == once["004"] == "dup"
+    assert once == outcomes("each", [(i, i + 1) for i in range(5)]) == outcomes("some", [(0, 2), (2, 5)])
