@@ -393,20 +393,20 @@ deltas AS (SELECT k.taken_at, k.source, {", ".join(f"CASE WHEN k.prev IS NULL TH
   FROM keys k LEFT JOIN samples c ON c.taken_at = k.taken_at AND c.source = k.source LEFT JOIN samples p ON p.taken_at = k.prev AND p.source = k.source)"""
 
 
-def source_deltas(spark, sf_dir):
-    o = outcomes(spark, sf_dir).filter("event_id % 5 = 0")
+def source_deltas(spark, sf_dir, every: int = 5):
+    o = outcomes(spark, sf_dir).filter(F.col("event_id") % every == 0)
     s = o.groupBy(F.date_trunc("hour", "ts").alias("taken_at"), F.col("source_type").alias("source")).agg(F.count("*").alias("produced"), F.count_if(F.col("outcome") == "stored").alias("stored"), F.count_if(F.col("outcome").isin(*monitor.BY_SOURCE)).alias("rejected"))
     return monitor.source_deltas(s)
 
 
 @query(f"WITH {SAMPLES_SQL} SELECT * FROM deltas")
-def WIN02_source_deltas(spark, sf_dir):
-    return _naive(source_deltas(spark, sf_dir), "taken_at")
+def WIN02_source_deltas(spark, sf_dir, every: int = 5):
+    return _naive(source_deltas(spark, sf_dir, every), "taken_at")
 
 
 @query(f"WITH {SAMPLES_SQL} SELECT time_bucket(INTERVAL 5 MINUTES, taken_at) AS bucket, " + ", ".join(f"coalesce(sum(produced_delta) FILTER (source = 'src{i}'), 0)::BIGINT AS src{i}" for i in range(6)) + " FROM deltas GROUP BY 1")
-def AGG18_activity_5min(spark, sf_dir):
-    return _naive(monitor.activity(source_deltas(spark, sf_dir), [f"src{i}" for i in range(6)]), "bucket")
+def AGG18_activity_5min(spark, sf_dir, every: int = 5):
+    return _naive(monitor.activity(source_deltas(spark, sf_dir, every), [f"src{i}" for i in range(6)]), "bucket")
 
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -422,8 +422,8 @@ EVENTS_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
 LIMITS = {"src0": 120, "src1": 300, "src2": 100000}
 
 
-def runs(spark, sf_dir):
-    e = table(spark, sf_dir, "events").filter("event_id % 10 = 0")
+def runs(spark, sf_dir, every: int = 10):
+    e = table(spark, sf_dir, "events").filter(F.col("event_id") % every == 0)
     return e.select(F.concat(F.lit("src"), (F.col("user_id") % 6).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("finished_at"), (F.col("event_id") % 9).alias("pages"), (F.col("event_id") % 40).alias("published"))
 
 
@@ -433,13 +433,13 @@ status AS (SELECT l.source, finished_at, pages, published, coalesce(m, 180)::INT
 
 
 @query(f"WITH {STATUS_SQL} SELECT source, finished_at, pages, published, stale_after_minutes, round(age, 1) AS age_minutes, CASE WHEN age <= stale_after_minutes THEN 'ok' ELSE 'stale' END AS status FROM status")
-def JON10_run_status(spark, sf_dir):
-    return _naive(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS), "finished_at")
+def JON10_run_status(spark, sf_dir, every: int = 10):
+    return _naive(monitor.run_status(runs(spark, sf_dir, every), F.expr(EVENTS_AS_OF), LIMITS), "finished_at")
 
 
 @query(f"WITH {STATUS_SQL} SELECT string_agg(source, ',' ORDER BY source) FILTER (age > stale_after_minutes) AS stale, CASE WHEN count(*) FILTER (age > stale_after_minutes) > 0 THEN 'stale' ELSE 'ok' END AS status FROM status")
-def AGG21_overall_status(spark, sf_dir):
-    o = monitor.overall(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS))
+def AGG21_overall_status(spark, sf_dir, every: int = 10):
+    o = monitor.overall(monitor.run_status(runs(spark, sf_dir, every), F.expr(EVENTS_AS_OF), LIMITS))
     return o.select(F.concat_ws(",", "stale").alias("stale"), "status")
 
 

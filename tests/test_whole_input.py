@@ -106,3 +106,12 @@ def test_outcomes_do_not_depend_on_batches(spark, tmp_path):
     once = outcomes("once", [(0, 5)])
     assert once["000"] == "stored" and once["001"] == once["003"] == once["004"] == "dup"
     assert once == outcomes("each", [(i, i + 1) for i in range(5)]) == outcomes("some", [(0, 2), (2, 5)])
+
+
+def test_every_event_is_counted(spark, data):
+    e = catalogue.table(spark, data, "events")
+    first = e.filter("user_id % 4 <> 0").count()
+    assert Q["SRC09_envelopes_whole"](spark, data).count() == first
+    assert catalogue.runs(spark, data, 1).count() == e.count()
+    newest = [r.id for r in Q["TOP05_newest_first_whole"](spark, data).collect()]
+    assert newest == sorted((r.doc_id for r in catalogue.table(spark, data, "documents").select("doc_id").collect()), reverse=True)[:40]
