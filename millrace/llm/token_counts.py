@@ -6,7 +6,9 @@ Parquet table in a folder that executors share. The count is the library's: a te
 each distinct piece's count is asked of the library once per worker; a text with a special token's string or with code
 points that libraries may class in different ways goes to the library whole.
 
-Null or empty text has 0 tokens. Repeated rows are counted once and returned one by one. Extra columns are left out.
+Null or empty text has 0 tokens. Repeated rows, and rows with one id and different texts, are returned one by one, equal
+texts counted once. A digest that the cache holds several times counts once. A very long text is encoded whole, as one slice.
+There are no ties to break. An empty table gives an empty result. Extra columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import pretok
 from .bpe import slices
-from .common import shared_path, small_batches, whole_text
+from .common import shared_path, small_batches, snapshot, spread_join, whole_text
 
 OVER = 1024
 #: Up to this many missing digests (32 bytes each) are broadcast to pick their texts out; more go by a shuffle.
@@ -118,6 +120,7 @@ def token_counts(docs: DataFrame, path: str, cache: str | None = None, limit: in
         else:
             missing = texts.dropDuplicates(["digest"]).join(known, "digest", "left_anti")
     _encode(missing, path, version).write.mode("append").parquet(cache)
-    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("version") == version).select("digest", "n_tokens")
-    rows = src.select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), "digest")
-    return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    # Two runs at once may append one digest each, with one and the same count.
+    counts = spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("version") == version).groupBy("digest").agg(F.min("n_tokens").alias("n_tokens"))
+    rows = snapshot(src.select("doc_id", F.octet_length("t").cast("long").alias("n_bytes"), "digest"))
+    return spread_join(rows, counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
