@@ -5,8 +5,11 @@ time by information gain on two thirds of the sample, pruned on the other third,
 a rule covers is taken out before the next is grown. The learned list is emitted as one ordered Spark conditional.
 
 The fit reads at most ``MAX_LABELLED`` labelled documents (those of the smallest hash of the id); everything else covers all
-rows. Null or empty text has no words and fails the base rules. Labels that are null are left out; of several labels for one
-document the smallest counts. Repeated rows are judged one by one. Without labels no rule is learned.
+rows. Null or empty text has no words and fails the base rules. A very long text is counted whole. Labels that are null are
+left out; of several labels for one document the smallest counts, and of several texts of one id the one of the smallest counts
+is learned from. Repeated rows are judged one by one. Conditions of equal gain: the first by feature, then threshold, then
+sign. Without labels, or with labels of one kind, no rule is learned; an empty table gives an empty result. Extra columns,
+whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -88,8 +91,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str = "qualit
         if chosen.count() == most:
             break
     known = chosen
-    some = docs.join(F.broadcast(known), "doc_id").select("doc_id", "text", "y")  # bounded by most
-    f = features(some).dropDuplicates(["doc_id"]).join(F.broadcast(known), "doc_id").orderBy(id_hash(), "doc_id")
+    some = docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")  # bounded by most
+    f = features(some).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("c")).select("doc_id", "c.*")
+    f = f.join(F.broadcast(known), "doc_id").orderBy(id_hash(), "doc_id")
     pdf = f.select(*[F.expr(e).cast("double").alias(k) for k, e in RATIOS.items()], "y").toPandas()
     return pdf[list(RATIOS)].to_numpy(), (pdf["y"] == 0).to_numpy()
 
