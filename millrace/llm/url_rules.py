@@ -9,8 +9,12 @@ Two sorts of rules are held in one index:
 Each rule is filed under the one of its literal tokens that the fewest URLs hold. A URL's own tokens fetch the rules
 filed under them, and only those are tried. A URL without a fitting prefix rule is blocked if a pattern rule matches.
 
-Null URLs and URLs without ``://`` have an empty host and path and are allowed unless a pattern matches. Repeated rows
-are judged one by one; extra columns of the input are left out.
+A rule without a literal is tried on every URL; none of those kept here is. Beyond ``BROADCAST_RULES`` rules the index is joined
+by a shuffle in which a token that many URLs hold is dealt over several tasks.
+
+Null URLs and URLs without ``://`` have an empty host and path and are allowed unless a pattern matches. Very long URLs are
+judged whole. Repeated rows are judged one by one; an empty table gives an empty result; extra columns, whatever their names,
+are left out.
 """
 
 from __future__ import annotations
@@ -70,7 +74,8 @@ PATTERN_RULES = [
     PatternRule("cheap-pills", r"://[^/?#]*\bcheap-pills\.", ("cheap", "pills")),
     PatternRule("casino", r"://[^/?#]*\bcasino-[a-z]+\.", ("casino",)),
     PatternRule("ad-tracker", r"://[^/?#]*\bads-track\.", ("ads", "track")),
-    PatternRule("session-id", r"[?&](phpsessid|sid)=[0-9a-f]{16,}", ()),
+    PatternRule("session-id", r"[?&]phpsessid=[0-9a-f]{16,}", ("phpsessid",)),
+    PatternRule("session-id", r"[?&]sid=[0-9a-f]{16,}", ("sid",)),
     PatternRule("login-page", r"/login(\.[a-z]+)?([/?#]|$)", ("login",)),
     PatternRule("calendar-trap", r"/calendar/[0-9]{4}/[0-9]{2}", ("calendar",)),
 ]
@@ -141,7 +146,7 @@ def _judge(found: Column) -> list[Column]:
     return [first["rule"].alias("rule"), verdict.alias("verdict"), pattern.alias("pattern_rule")]
 
 
-def url_filter(pages: DataFrame, prefix_rules=None, pattern_rules=None, id_col: str = "page_id", url_col: str = "url", inline: bool | None = None) -> DataFrame:
+def url_filter(pages: DataFrame, prefix_rules=None, pattern_rules=None, id_col: str = "page_id", url_col: str = "url", inline: bool | None = None, broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, pattern_rule (the first by name of the pattern rules that match, or null)."""
     rules = [*(PREFIX_RULES if prefix_rules is None else prefix_rules), *(PATTERN_RULES if pattern_rules is None else pattern_rules)]
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"))
@@ -163,7 +168,7 @@ def url_filter(pages: DataFrame, prefix_rules=None, pattern_rules=None, id_col:
         found = base.withColumn("found", F.filter(fetched, lambda r: _fits(r, F.col("host"), F.col("path"), F.col("lowered"))))
         return found.select("page_id", "host", "path", *_judge(F.col("found")))
     # Many rules: the index is a table; a row number of this scan keeps repeated rows apart.
-    from .common import snapshot
+    from .common import snapshot, spread_join
 
     spark = pages.sparkSession
     flat = [(k, *[getattr(r, a, None) for a in ("rule", "verdict", "host", "path", "regex", "name")]) for k, v in index.items() for r in v]
@@ -171,7 +176,7 @@ def url_filter(pages: DataFrame, prefix_rules=None, pattern_rules=None, id_col:
     table = spark.createDataFrame(flat, "token string, rule string, verdict string, rhost string, rpath string, regex string, name string")
     rows = snapshot(base.withColumn("rid", F.monotonically_increasing_id()))
     tokens = rows.select("rid", "host", "path", "lowered", F.explode(F.array_append(url_tokens(F.col("url")), F.lit(""))).alias("token"))
-    joined = tokens.join(F.broadcast(table) if len(flat) <= BROADCAST_RULES else table, "token")
+    joined = tokens.join(F.broadcast(table), "token") if len(flat) <= broadcast_rules else spread_join(snapshot(tokens), table, "token")
     r = F.struct("rule", "verdict", "rhost", "rpath", "regex", "name")
     fit = joined.withColumn("r", r).filter(_fits(F.col("r"), F.col("host"), F.col("path"), F.col("lowered")))
     found = fit.groupBy("rid").agg(F.collect_list("r").alias("found"))
