@@ -4,11 +4,12 @@ Base spans (leftmost, not overlapping within a kind): ``assign`` (keyword, ``:``
 (``AKIA`` keys of 16+) and ``hex`` (runs of 32+). Besides, tokens of 20+ characters with a capital, a small letter and a
 digit are candidates without a keyword. Every candidate value is digested, and the digests are aggregated over the whole
 corpus by distinct owners (``owner_col``) and repositories (``repo_cols``). A value that ``example_owners`` or more owners
-hold is a widely copied example; a value of one owner alone looks live. The method adds a span of kind ``owned`` for each
-candidate without a base span over it that looks live.
+hold is a widely copied example; a value of fewer looks live. The method adds a span of kind ``owned`` for each candidate
+without a base span over it that looks live. The number of repositories is reported and decides nothing.
 
 Null or empty text: no spans. Null owners count as one owner of their own. Repeated rows are scanned one by one and counted
-once where owner and repository agree. Very long texts are scanned whole. Extra columns are left out.
+once where owner and repository agree. Spans that begin at one place are ordered by kind. Very long texts are scanned whole. An
+empty table gives an empty result. Extra columns, whatever their names, are left out of the report and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import snapshot, whole_text
+from .common import snapshot, spread_join, whole_text
 
 
 def _any_case(word: str) -> str:
@@ -31,8 +32,6 @@ HEX = "[0-9a-f]{32,}"
 LOOSE = "[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "owned")
 EXAMPLE_OWNERS = 3
-#: A candidate's rows are dealt over this many join keys, so that one value in a third of all rows meets no single task.
-SALTS = 16
 _SPANS = "array<struct<s:int,e:int>>"
 
 
@@ -90,18 +89,20 @@ def _label(x: Column) -> Column:
     return F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["k"] + 1), x["s"].cast("string"), x["e"].cast("string"))
 
 
-def scan_spans(docs: DataFrame, owner_col: str, repo_cols, id_col: str, text_col: str, carry=()) -> tuple[DataFrame, DataFrame]:
-    """The rows with their candidates (rid tells them apart), and rid, x, n_owners, n_repos for each span that stays."""
+def scan_spans(docs: DataFrame, owner_col: str, repo_cols, id_col: str, text_col: str, example_owners: int, carry=()) -> tuple[DataFrame, DataFrame]:
+    """The rows with their candidates (rid tells them apart), and rid, x, n_owners, n_repos for each span that stays.
+
+    Patterns run over each text once. A value that many rows hold is dealt over several tasks of the join.
+    """
     rows = snapshot(candidates(docs, owner_col, repo_cols, id_col, text_col, carry).withColumn("rid", F.monotonically_increasing_id()))
     some = rows.select("rid", "owner", "repo", "base", "loose").filter((F.size("base") > 0) | (F.size("loose") > 0))
-    known = ownership(some).withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    spans = some.select("rid", F.explode(F.concat("base", "loose")).alias("x")).withColumn("h", F.col("x.h")).withColumn("salt", F.pmod(F.xxhash64("rid", "x.s"), F.lit(SALTS)).cast("int"))
-    return rows, spans.join(known, ["h", "salt"]).filter((F.col("x.k") < 3) | (F.col("n_owners") == 1))
+    spans = snapshot(some.select("rid", F.explode(F.concat("base", "loose")).alias("x")).withColumn("h", F.col("x.h")))
+    return rows, spread_join(spans, ownership(some), "h").filter((F.col("x.k") < 3) | (F.col("n_owners") < example_owners))
 
 
-def scan(docs: DataFrame, owner_col: str = "source", repo_cols=("source", "lang"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, owner_col: str = "source", repo_cols=("source", "lang"), id_col: str = "doc_id", text_col: str = "text", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """doc_id, base (array), all (array of base and added spans, each with n_owners and n_repos), one row per input row."""
-    rows, kept = scan_spans(docs, owner_col, repo_cols, id_col, text_col)
+    rows, kept = scan_spans(docs, owner_col, repo_cols, id_col, text_col, example_owners)
     by_doc = kept.groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("x.s", "x.k", "x.e", "n_owners", "n_repos"))).alias("all"))
     none = F.array().cast("array<struct<s:int,k:int,e:int,n_owners:bigint,n_repos:bigint>>")
     out = rows.select("rid", "doc_id", "base").join(by_doc, "rid", "left").withColumn("all", F.coalesce("all", none))
@@ -111,7 +112,7 @@ def scan(docs: DataFrame, owner_col: str = "source", repo_cols=("source", "lang"
 def report(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, **kw) -> DataFrame:
     """The digest columns of a scan."""
     n = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("long")
-    return scan(docs, **kw).select(
+    return scan(docs, example_owners=example_owners, **kw).select(
         "doc_id",
         n(0).alias("n_assign"),
         n(1).alias("n_access"),
@@ -146,7 +147,7 @@ loose AS (
   WHERE regexp_matches(x.v, '[A-Z]') AND regexp_matches(x.v, '[a-z]') AND regexp_matches(x.v, '[0-9]')),
 cand AS (SELECT * FROM spans UNION ALL SELECT * FROM loose l WHERE NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = l.rid AND b.s < l.e AND l.s < b.e)),
 own AS (SELECT v, count(DISTINCT owner) AS n FROM cand GROUP BY v),
-fin AS (SELECT c.*, n FROM cand c JOIN own USING (v) WHERE k < 3 OR n = 1),
+fin AS (SELECT c.*, n FROM cand c JOIN own USING (v) WHERE k < 3 OR n < {example_owners}),
 agg AS (
   SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
          coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 3), '') AS b,
@@ -163,13 +164,12 @@ FROM d LEFT JOIN agg USING (rid)
 def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mark: str = "[SECRET]", owner_col: str = "source", repo_cols=("source", "lang"), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with every span that isn't a widely copied example replaced by the mark; the same columns and rows.
 
-    Spans that overlap are replaced as one. Only rows that hold a candidate are written to the snapshot and shuffled. A
-    column n_chars, where there is one, follows the new text.
+    Spans that overlap are replaced as one. Texts are scanned once, into a snapshot; only rows that hold a candidate are shuffled.
+    A column n_chars, where there is one, follows the new text.
     """
-    hit = F.coalesce(F.regexp_like(F.col(text_col), F.lit("|".join((ASSIGN, ACCESS, HEX, LOOSE)))), F.lit(False))
-    dirty = docs.filter(hit)
     carried = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
-    rows, spans = scan_spans(dirty, owner_col, repo_cols, id_col, text_col, carry=[carried])
+    rows, spans = scan_spans(docs, owner_col, repo_cols, id_col, text_col, example_owners, carry=[carried])
+    clean = (F.size("base") == 0) & (F.size("loose") == 0)
     bad = spans.filter(F.col("n_owners") < example_owners).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("x.s", "x.e"))).alias("cut"))
     text = F.col(f"row.{text_col}")
     built = F.aggregate(
@@ -184,5 +184,5 @@ def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mark: str = "[
     new = {c: F.col(f"row.{c}") for c in docs.columns} | {text_col: F.when(F.col("cut").isNull(), text).otherwise(built)}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.length(new[text_col]).cast("long"))
-    done = rows.join(bad, "rid", "left").select(*[new[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
-    return docs.filter(~hit).unionByName(done)
+    done = rows.filter(~clean).join(bad, "rid", "left").select(*[new[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    return rows.filter(clean).select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]).unionByName(done)
