@@ -339,7 +339,7 @@ def test_tiling(spark, nothing):
     turned = " ".join(item[15:] + ["between"] + item[:15])
     made = [(1, prose(50, 900) + " " + PASSAGE.upper() + " end"), (2, turned), (3, " ".join(item[:15])), (4, prose(200, 901)), (5, None), (6, ""), (7, PASSAGE), (7, PASSAGE)]
     d = spark.createDataFrame(made, "doc_id long, text string").withColumn("item_id", F.lit("clash"))
-    for most in (10**6, 10):  # in one pass, and in several
+    for most in (10**6, 10):  # sent to the workers, and joined
         got = tiling.leaks(d, bench, most=most)
         assert counted(got, "doc_id", "item_id") == Counter({(1, 1): 1, (2, 1): 1, (7, 1): 2})
         kept = tiling.drop_leaks(d, bench, most=most)
@@ -347,6 +347,70 @@ def test_tiling(spark, nothing):
     assert tiling.leaks(nothing, bench).count() == 0 and tiling.leaks(d, bench.limit(0)).count() == 0
 
 
+def greedy_tiles(doc, item):
+    """Every pair of places, the longest match first."""
+    free_doc, free_item, out = [True] * len(doc), [True] * len(item), []
+    while True:
+        best = (0, 0, 4)
+        for p in range(len(item)):
+            for q in range(len(doc)):
+                k = 0
+                while p + k < len(item) and q + k < len(doc) and free_item[p + k] and free_doc[q + k] and item[p + k] == doc[q + k]:
+                    k += 1
+                if k > best[2]:
+                    best = (p, q, k)
+        p, q, k = best
+        if k < 5:
+            return out
+        out.append(best)
+        free_item[p : p + k] = free_doc[q : q + k] = [False] * k
+
+
+def test_tiles_equal_those_of_all_pairs():
+    r = random.Random(3)
+    for _ in range(150):
+        top = r.choice([1, 2, 3, 8])
+        doc, item = ([r.randrange(top) for _ in range(r.randrange(n))] for n in (60, 40))
+        if r.random() < 0.5:
+            at = r.randrange(len(doc) + 1)
+            doc[at:at] = item
+        d, i = (np.array([7919 * x + 13 for x in v], np.uint64) for v in (doc, item))
+        assert tiling.tile(d, i, tiling.seeds(d), tiling.seeds(i)) == greedy_tiles(doc, item)
+
+
+def test_one_token_over_and_over(spark):
+    d = spark.createDataFrame([(1, "spam " * 10_000), (2, "spam " * 30), (3, ("ham spam eggs " * 4000))], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "spam " * 2000), (2, "ham spam eggs " * 700)], "item_id long, text string")
+    for most in (10**6, 10):
+        got = {(r.doc_id, r.item_id): (r.n_covered, r.n_tiles) for r in tiling.leaks(d, b, most=most).collect()}
+        assert got == {(1, 1): (2000, 1), (3, 2): (2100, 1)}
+
+
+def test_leaks_equal_those_of_all_pairs(spark):
+    r = random.Random(31)
+    items = {i: [r.choice(WORDS) for _ in range(r.randrange(3, 40))] for i in range(25)}
+    made = []
+    for i in range(60):
+        w = [r.choice(WORDS) for _ in range(r.randrange(80))]
+        for k in r.sample(range(25), 2):
+            cut = r.randrange(len(items[k]))
+            w += [*items[k][cut:], "x", *items[k][: cut - r.randrange(3)]]
+        made.append((i % 50, " ".join(w)))
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(v)) for k, v in items.items()], "item_id long, text string")
+    want = Counter()
+    for i, t in made:
+        for k, v in items.items():
+            n = sum(x[2] for x in greedy_tiles(t.lower().split(), [x.lower() for x in v]))
+            if n >= 0.8 * len(v):
+                want[(i, k, n)] += 1
+    assert len(want) > 20
+    for most in (10**6, 10):
+        assert counted(tiling.leaks(docs, bench, most=most), "doc_id", "item_id", "n_covered") == want
+        bad = {i for i, _, _ in want}
+        assert not bad & {r.doc_id for r in tiling.drop_leaks(docs, bench, most=most).collect()} - {i for i, n in Counter(i for i, _ in made).items() if n > 1}
+
+
 def test_tiles_are_greedy():
     h = lambda s: np.array([hash(c) & (2**63 - 1) for c in s], np.uint64)
     doc, item = h("xxabcdefgyyhijklmzzabcdefghijk"), h("abcdefghijklm")
