@@ -6,14 +6,20 @@ set, kept as its number of leading zeros and ten mantissa bits. Nodes that agree
 Two documents of similarity 0.8 share no bucket with a probability of 1.3e-7, less above.
 
 1. In a bucket all members are compared with one hub (the least id): an estimate from the last bit of each register (corrected
-   for bits that agree by chance) drops what is clearly too far, then the full sets are compared. Links make components.
+   for bits that agree by chance) drops what is clearly too far, then the full sets are compared: a hub's set goes once to each
+   task that compares some of its members. Links make components.
 2. A bucket all of whose members are in one component is done. Members of the others are gathered by their hub and compared
    across components, exactly: a hub's members are dealt into blocks of bounded size, a task takes two blocks and counts the
    shared shingles of all its pairs by matrix products, and only what joins two components comes out, as stars. Members of
    the hub's largest component aren't compared with each other. So no link within a bucket is left out.
 
+Buckets, hubs and sets that many rows have are counted first and dealt over several tasks; nothing is left out for its size.
+
 Documents without words or text are linked with nothing, and so are rows without an id (their component is null, they are
-kept). Repeated rows fall into one component and keep their rows. Extra columns are left out.
+kept). Repeated rows fall into one component and keep their rows, as do rows of one id with different texts, whose links
+all count for that id. Very long texts are compared whole. Of a group the least id stays; of rows with one id that stays, the
+filter keeps one, the least by its text. An empty table gives an empty result. Extra columns, whatever their names, are left
+out of the report and kept by the filter.
 """
 
 from __future__ import annotations
@@ -28,18 +34,20 @@ from pyspark.sql import functions as F
 
 from . import pretok
 from .bpe import slices, spread
-from .common import small_batches, snapshot, whole_text
+from .common import hot_keys, small_batches, snapshot, spread_join, whole_text
 
 BANDS, ROWS, MANTISSA = 40, 5, 10
 REGISTERS = BANDS * ROWS
 #: The last bits of registers of different minima agree as often as this.
 COLLIDE = 0.5
-#: Estimates this far below the threshold are not compared (six standard deviations for a pair at 0.8).
+#: Estimates this far below the threshold are not compared (six standard deviations for a pair at 0.8); None compares all pairs.
 SLACK = 0.25
 SKETCH = ["s0", "s1", "s2", "s3"]
 #: A hub's members are dealt into blocks of a sixteenth of their shingles, but no fewer and no more shingles than this.
 BLOCK = (20_000, 400_000)
 SALTS = 16
+#: A hub's members are compared in parts of about as many shingles, and members, as this.
+PART = (1_000_000, 512)
 #: Columns of the dense matrices whose product counts shared shingles.
 COLUMNS = 2048
 #: Up to this many ids (8 bytes each) are broadcast to pick texts out; more go by a shuffle.
@@ -103,12 +111,14 @@ def band_keys(r: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def may_link(least: float, of: str = "", other: str = "o"):
-    """Whether sizes and sketches of two nodes (columns n, s0.. and on, with suffixes) allow this similarity."""
+def may_link(percent: int, slack: float | None, of: str = "", other: str = "o"):
+    """Whether sizes and sketches of two nodes (columns n, s0.. and on, with suffixes) allow a similarity of percent."""
     n, m = F.col(f"n{of}"), F.col(f"n{other}")
+    sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    if slack is None:
+        return sizes
     apart = sum((F.bit_count(F.col(f"{c}{of}").bitwiseXOR(F.col(f"{c}{other}"))) for c in SKETCH), F.lit(0))
-    estimate = (1 - apart / REGISTERS - COLLIDE) / (1 - COLLIDE)
-    return (F.least(n, m) >= (least + SLACK) * F.greatest(n, m) - 1e-6) & (estimate >= least)
+    return sizes & ((1 - apart / REGISTERS - COLLIDE) / (1 - COLLIDE) >= percent / 100 - slack)
 
 
 def signatures(docs: DataFrame, words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -151,33 +161,56 @@ def _sets_of(nodes: DataFrame, docs: DataFrame, words: int, id_col: str, text_co
     return snapshot(_sets(docs.join(F.broadcast(wanted) if few else wanted, id_col, "left_semi"), words, id_col, text_col))
 
 
-def _keep_near(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) that their sizes and sketches don't rule out."""
+def _keep_near(star: DataFrame, nodes: DataFrame, percent: int, slack: float | None) -> DataFrame:
+    """Pairs (a, b) that their sizes and sketches don't rule out, with the size of b's set. A node is b in few pairs; it may be
+    a in many."""
     x = nodes.select("node", "n", *SKETCH)
-    for side in ("a", "b"):
-        pairs = pairs.join(x.toDF(side, *[f"{c}{side}" for c in ("n", *SKETCH)]), side)
-    return pairs.filter(may_link(least, "a", "b")).select("a", "b")
+    pairs = spread_join(star, x.toDF("a", *[f"{c}a" for c in ("n", *SKETCH)]), "a")
+    pairs = pairs.join(x.toDF("b", *[f"{c}b" for c in ("n", *SKETCH)]), "b")
+    return pairs.filter(may_link(percent, slack, "a", "b")).select("a", "b", F.col("nb").alias("n"))
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets have a similarity of percent or more."""
+    """Pairs (a, b) of (a, b, n) whose full sets have a similarity of percent or more.
+
+    A hub's members go to as many parts as their shingles ask for. Each part is a sorted run of rows: the hub's set, then its
+    members' sets, which a task reads one after the other.
+    """
     kind = pairs.schema["a"].dataType.simpleString()
+    weight = pairs.groupBy("a").agg(F.sum("n").alias("n"), F.count("*").alias("c"))
+    total = weight.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("c"), F.lit(0))).first()
+    most = [max(x, t // 20_000) for x, t in zip(PART, total, strict=True)]
+    k = F.greatest(*[F.ceil(F.col(c) / m) for c, m in zip("nc", most, strict=True)]).cast("int")
+    parts = snapshot(weight.select("a", k.alias("k")).filter("k > 1"))  # under 40,000 hubs
+    dealt = pairs.join(F.broadcast(parts), "a", "left").withColumn("part", F.pmod(F.xxhash64("b"), F.coalesce("k", F.lit(1))).cast("int"))
+    members = dealt.select("a", "part", "b").join(sets.toDF("b", "x"), "b").select("a", "part", F.lit(1).alias("kind"), "b", "x")
+    hubs = pairs.select("a").distinct().join(F.broadcast(parts), "a", "left").join(sets.toDF("a", "x"), "a")
+    hubs = hubs.select("a", F.explode(F.sequence(F.lit(0), F.coalesce("k", F.lit(1)) - 1)).alias("part"), F.lit(0).alias("kind"), F.lit(None).cast(kind).alias("b"), "x")
+
+    def near(x: np.ndarray, y: np.ndarray) -> bool:
+        if len(x) > len(y):
+            x, y = y, x
+        at = np.searchsorted(y, x)
+        at[at == len(y)] = 0
+        both = int((y[at] == x).sum())
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        hub, begun = [], False  # rows of one id with different texts make several sets
+        for t in batches:
             keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum()) if len(y) else 0
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for is_member, x in zip(t.column(2).to_pylist(), t.column(4), strict=True):
+                x = np.frombuffer(x.as_py(), np.uint64)
+                if not is_member:
+                    hub = [x] if begun else [*hub, x]
+                    keep.append(False)
+                else:
+                    keep.append(any(near(h, x) for h in hub))
+                begun = bool(is_member)
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(3)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
-    return full.select("a", "b", "xa", "xb").mapInArrow(run, f"a {kind}, b {kind}")
+    runs = hubs.unionByName(members).repartition("a", "part").sortWithinPartitions("a", "part", "kind")
+    return runs.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def overlaps(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
@@ -237,15 +270,15 @@ def joined(xs, ys, labels_x: np.ndarray, labels_y: np.ndarray, percent: int) ->
     return np.column_stack([first[other], other])
 
 
-def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame, labels: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int, hot: DataFrame) -> DataFrame:
     """Links (a, b) between components of nodes that share a bucket of several components; enough of them to join all that
-    are linked."""
+    are linked. hot: the buckets of many members."""
     kind = nodes.schema["node"].dataType.simpleString()
     left = members.filter("size > 2").select("key", "hub", "node").join(labels, "node", "left")
     left = snapshot(left.select("key", "hub", "node", F.coalesce("label", "node").alias("label")))
     several = left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("key")
     weight = nodes.groupBy("node").agg(F.sum("n").alias("n"))
-    group = snapshot(left.join(several, "key", "left_semi").select("hub", "node", "label").distinct().join(weight, "node"))
+    group = snapshot(spread_join(left, several, "key", hot=hot).select("hub", "node", "label").distinct().join(weight, "node"))
     sizes = group.groupBy("hub", "label").agg(F.count("*").alias("k"), F.sum("n").alias("t"))
     hubs = sizes.groupBy("hub").agg(F.max(F.struct("k", "label", "t")).alias("m"), F.sum("t").alias("t"))
     block = F.least(F.greatest(F.col("t") / 16, F.lit(BLOCK[0])), F.lit(BLOCK[1]))
@@ -294,6 +327,8 @@ def components(edges: DataFrame, most_levels: int = 60) -> DataFrame:
         rest = snapshot(rest.select(F.least("x", "n").alias("a"), F.greatest("x", "n").alias("b")).distinct())
         if not rest.limit(1).count():
             break
+    else:
+        raise RuntimeError(f"components are not done after {most_levels} levels")
     labels = maps[-1].toDF("node", "label")
     for to in maps[-2::-1]:
         labels = to.join(labels.toDF("m", "l"), "m", "left").select(F.col("a").alias("node"), F.coalesce("l", "m").alias("label"))
@@ -312,23 +347,24 @@ def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     return snapshot(known.join(joined, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
 
 
-def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", slack: float | None = SLACK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row."""
     rows = snapshot(signatures(docs, words, id_col, text_col))
-    least = percent / 100 - SLACK
     some = rows.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
     nodes = snapshot(some.groupBy("digest").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in ("bands", *SKETCH)], F.first("n_shingles").alias("n")))
     buckets = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("size")).filter("hub < top").select("key", "hub", "size")
-    members = snapshot(buckets.join(hubs, "key").select("key", "node", "hub", "size"))
+    hubs = snapshot(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("n")).filter("hub < top"))
+    hot = hot_keys(hubs, "key", hubs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    members = snapshot(spread_join(buckets, hubs.select("key", "hub", F.col("n").alias("size")), "key", hot=hot, row=F.xxhash64("node")).select("key", "node", "hub", "size"))
     sets = _sets_of(members.select("node").distinct(), docs, words, id_col, text_col)
-    star = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    labels = components(snapshot(_confirm(snapshot(_keep_near(star, nodes, least)), sets, percent)))
-    links = snapshot(_across(members, labels, nodes, sets, percent))
+    star = snapshot(members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    labels = components(snapshot(_confirm(snapshot(_keep_near(star, nodes, percent, slack)), sets, percent)))
+    links = snapshot(_across(members, labels, nodes, sets, percent, hot))
     if links.limit(1).count():
         labels = _relabel(labels, links)
     found = nodes.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
-    out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(found, "digest", "left")
+    own = snapshot(rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")))
+    out = spread_join(own, found, "digest", "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -336,7 +372,8 @@ def near_groups(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str
 def keep_first(docs: DataFrame, words: int = 4, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs of the least id of each group, whole; of rows with one id one stays, rows without an id all do."""
     kept = near_groups(docs, words, percent, id_col, text_col).filter(F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col))
-    some = docs.filter(F.col(id_col).isNotNull()).join(kept.distinct(), id_col, "left_semi").dropDuplicates([id_col])
+    some = docs.filter(F.col(id_col).isNotNull()).join(kept.distinct(), id_col, "left_semi")
+    some = some.groupBy(id_col).agg(F.min_by(F.struct(*docs.columns), F.struct(text_col)).alias("__row")).select("__row.*")
     return some.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
 
 
