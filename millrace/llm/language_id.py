@@ -1,28 +1,34 @@
 """Language ID: a bidirectional gated recurrent network over bytes, trained in numpy.
 
 Every position of a text is labelled from a forward and a backward state; the document's probabilities are the mean over its
-positions. Texts are run in segments of ``SEGMENT`` bytes, whole. The network is trained by backpropagation through time on
-windows of at most ``MAX_LABELLED`` labelled documents (those of the smallest hash of the id) outside the held-out quarter
-(crc32 of the id as text, modulo 4, is 2); language, source and id are never inputs.
+positions. Texts are run whole, in segments of ``SEGMENT`` bytes; each direction comes to a segment with the state that the
+``LEAD`` bytes before it (behind it) leave. The network is trained by backpropagation through time on segments drawn from all
+over the whole texts of at most ``MAX_LABELLED`` labelled documents of each language (those of the smallest hash of the id)
+outside the held-out quarter (crc32 of the id as text, modulo 4, is 2); language, source and id are never inputs. The driver
+gets the drawn segments, whose number and size don't depend on the corpus or on the texts' length. Of languages that are in the
+table, the ``MAX_LANGUAGES`` most frequent are learned (a bound on the sample; ties by name).
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything if no language can be learned. Null ids
-aren't held out. Repeated rows are labelled one by one. Extra columns are left out.
+aren't held out. Repeated rows, and rows of one id with different texts, are labelled one by one. Of languages of equal
+probability the first by name is taken. An empty table gives an empty result. Extra columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import id_hash, shares, small_batches, under
+from .common import id_hash, small_batches, under
 
-HIDDEN, SEGMENT, PAD = 8, 96, 256
-MAX_LABELLED, WINDOW = 4_000, 400
+HIDDEN, SEGMENT, LEAD, PAD = 8, 232, 24, 256
+MAX_LABELLED, MAX_LANGUAGES, DRAWS = 1_000, 200, 8
 STEPS, BATCH, TRAIN_SEGMENT = 260, 128, 48
 
 
@@ -149,7 +155,8 @@ class Network:
         np.add.at(g["x"], at.ravel(), ga.reshape(-1, 3 * h))
         return g, loss
 
-    def train(self, windows: list[bytes], y: np.ndarray, steps: int = STEPS, rate: float = 0.03, seed: int = 11) -> None:
+    def train(self, drawn: list[list[bytes]], y: np.ndarray, steps: int = STEPS, rate: float = 0.03, seed: int = 11) -> None:
+        """drawn: each text's segments; y: the texts' labels."""
         g = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}
@@ -158,9 +165,7 @@ class Network:
             pick = np.array([g.choice(classes[i % len(classes)]) for i in range(BATCH)])  # every language alike
             rows = np.full((BATCH, TRAIN_SEGMENT), PAD, np.int64)
             for k, i in enumerate(pick):
-                w = windows[i]
-                a = int(g.integers(0, max(1, len(w) - TRAIN_SEGMENT + 1)))
-                part = np.frombuffer(w[a : a + TRAIN_SEGMENT], np.uint8)
+                part = np.frombuffer(drawn[i][int(g.integers(len(drawn[i])))], np.uint8)
                 rows[k, : len(part)] = part
             grads, _ = self.gradients(rows, y[pick])
             size = np.sqrt(sum(float((x * x).sum()) for x in grads.values()))
@@ -173,46 +178,65 @@ class Network:
             self.hold()
         self._fast = None
 
-    def predict(self, texts: list[str], rows_at_once: int = 2048) -> np.ndarray:
+    def predict(self, texts: list[str], rows_at_once: int = 1024) -> np.ndarray:
         """(texts, labels): each text's mean of its positions' probabilities; texts are not empty."""
-        data = [t.encode() for t in texts]
-        size = np.array([len(d) for d in data])
+        size = np.array([len(t.encode()) for t in texts])
         n = -(-size // SEGMENT)
-        padded = np.full((int(n.sum()), SEGMENT), PAD, np.int64)
         ends = np.cumsum(n)
-        flat = padded.reshape(-1)
-        for d, a in zip(data, (ends - n) * SEGMENT, strict=True):
-            flat[a : a + len(d)] = np.frombuffer(d, np.uint8)
-        sums = np.empty((len(padded), len(self.labels)), np.float64)
-        for a in range(0, len(padded), rows_at_once):
-            part = padded[a : a + rows_at_once]
-            prob, _ = self.positions(part)
-            prob[part.T == PAD] = 0
-            sums[a : a + rows_at_once] = prob.sum(axis=0)
+        width = SEGMENT + 2 * LEAD
+        rows = np.empty((int(n.sum()), width), np.int16)
+        for t, a, k in zip(texts, ends - n, n, strict=True):
+            data = np.full(k * SEGMENT + 2 * LEAD, PAD, np.int16)
+            raw = np.frombuffer(t.encode(), np.uint8)
+            data[LEAD : LEAD + len(raw)] = raw
+            rows[a : a + k] = np.lib.stride_tricks.sliding_window_view(data, width)[::SEGMENT]
+        sums = np.empty((len(rows), len(self.labels)), np.float64)
+        for a in range(0, len(rows), rows_at_once):
+            part = rows[a : a + rows_at_once]
+            prob, _ = self.positions(part.astype(np.int64))
+            core = prob[LEAD : LEAD + SEGMENT]
+            core[part.T[LEAD : LEAD + SEGMENT] == PAD] = 0
+            sums[a : a + rows_at_once] = core.sum(axis=0)
         return np.add.reduceat(sums, ends - n, axis=0) / size[:, None]
 
 
-def training_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_LABELLED) -> tuple[list[bytes], list[str]]:
-    """Windows of a bounded sample of labelled texts that aren't held out, each at a place that depends on its id."""
-    t, order = F.col(text_col), id_hash(id_col)
-    may = docs.filter(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    start = F.pmod(order, F.greatest(F.length(t) - WINDOW, F.lit(1))) + 1
-    for share in shares(most, may.count()):
-        some = may.filter(under(order, share)).filter(t.isNotNull() & t.rlike(r"\p{L}"))
-        rows = some.select(order.alias("o"), t.substr(start.cast("int"), F.lit(WINDOW)).alias("w"), F.col(lang_col).alias("lang")).orderBy("o", "w", "lang").limit(most).collect()
-        if len(rows) == most:
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """o, lang, t -> o, lang, drawn: segments at places all over the whole text, which follow from o alone."""
+    for b in batches:
+        drawn = []
+        for o, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+            data, g = t.encode(), np.random.default_rng(o & (2**63 - 1))
+            places = g.integers(0, max(1, len(data) - TRAIN_SEGMENT + 1), DRAWS)
+            drawn.append([data[a : a + TRAIN_SEGMENT] for a in places.tolist()])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(drawn, pa.list_(pa.binary()))], ["o", "lang", "drawn"])
+
+
+def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_LABELLED) -> tuple[list[list[bytes]], list[str]]:
+    """Drawn segments and language of a bounded sample of each language's labelled texts that aren't held out."""
+    t, order, lang = F.col(text_col), id_hash(id_col), F.col(lang_col)
+    may = docs.filter(lang.isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
+    count = {r["lang"]: r["n"] for r in may.groupBy(lang.alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    factor, rows = 2, []
+    while count:
+        near = [(lang == k) & under(order, factor * most / n) for k, n in count.items()]
+        some = may.filter(reduce(Column.__or__, near)).filter(t.rlike(r"\p{L}")).select(order.alias("o"), lang.alias("lang"), t.alias("t"))
+        w = Window.partitionBy("lang").orderBy("o", "drawn")
+        rows = some.mapInArrow(_draw, "o bigint, lang string, drawn array<binary>").withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most).orderBy("o", "lang", "n").collect()
+        found = Counter(r["lang"] for r in rows)
+        if all(found[k] == most or factor * most >= n for k, n in count.items()):
             break
-    return [r["w"].encode() for r in rows if r["w"].strip()], [r["lang"] for r in rows if r["w"].strip()]
+        factor *= 8
+    return [[bytes(x) for x in r["drawn"]] for r in rows], [r["lang"] for r in rows]
 
 
 def fit(docs: DataFrame, **kw) -> Network | None:
-    windows, langs = training_windows(docs, **kw)
+    drawn, langs = training_sample(docs, **kw)
     labels = sorted(set(langs))
     if not labels:
         return None
     net = Network(labels)
     if len(labels) > 1:
-        net.train(windows, np.array([labels.index(x) for x in langs]))
+        net.train(drawn, np.array([labels.index(x) for x in langs]))
     return net
 
 
