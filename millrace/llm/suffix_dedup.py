@@ -14,9 +14,13 @@ Every byte of a document that lies in a string of ``LENGTH`` bytes that also sta
    there on. Shared lengths of the output give, for each suffix and each string around its anchor, the smallest id.
 5. The answer is a bit for each suffix and string: whether a smaller id than the pack's own has it. Packs mark and cut.
 
-No key, text or anchor can gather more than one entry a pack in a task. Null counts as empty; texts under LENGTH bytes keep
-all. Null ids count as greater than all others and not smaller than each other. Repeated rows with one id don't remove each
-other and get the same result. Extra columns are left out.
+A text or a string can gather no more than one entry a pack in a task. Suffixes of one anchor stay in one range with all their
+different contexts, as strings around it are told apart there; the number of ranges and packs grows with the input.
+
+Null counts as empty; texts under LENGTH bytes keep all; very long texts are packs of their own, whole. Null ids count as
+greater than all others and not smaller than each other. Rows with one id don't remove each other, whether their texts are
+equal or not; equal ones get the same result. An empty table gives an empty result. Extra columns, whatever their names, are
+left out. Ids that aren't numbers are refused by Spark's cast.
 """
 
 from __future__ import annotations
@@ -32,18 +36,21 @@ from pyspark.sql import functions as F
 
 from . import pretok
 from .bpe import spread
-from .common import small_batches, snapshot, under, whole_text
+from .common import small_batches, snapshot, spread_join, under, whole_text
 
 LENGTH, GRAM = 50, 20
 SIDE = LENGTH - GRAM
 KEY = GRAM + 2 * SIDE + 2
-PACK_BYTES = 4_000_000
+#: A pack's bytes: this share of all bytes between these two sizes, so that packs don't outnumber what one exchange can hold.
+PACK_BYTES, MOST_PACK_BYTES, PACKS = 4_000_000, 32_000_000, 1 << 17
+#: Bytes that one bucket of the table of packs holds, and the most buckets.
+BUCKET_BYTES, MOST_BUCKETS = 12_000_000, 100_000
 #: Hashes, and suffixes, that one range of an exchange holds on average.
 HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 100_000
 #: Bits of an anchor's hash. Two anchors of one hash are taken for repeated, and told apart when their suffixes are merged.
 HASH_BITS = 48
-#: Splitters are chosen from some hundred suffixes of each of about as many runs as this.
-SAMPLED_RUNS = 500
+#: Splitters are chosen from some hundred suffixes of each of as many runs as give four for each range, between these numbers.
+SAMPLED_RUNS, MOST_SAMPLED_RUNS = 500, 16_000
 NO_ID = 2**63 - 1
 _ZSTD = pa.Codec("zstd", compression_level=6)
 
@@ -57,7 +64,7 @@ def _swell(data: bytes) -> bytes:
     return pa.decompress(data[8:], decompressed_size=n, codec="zstd", asbytes=True) if n else b""
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packer(most: int):
     """digest, rep, t -> pack, ids, digests, sizes, data, n."""
 
     def out(rows):
@@ -67,17 +74,20 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cols, kinds, strict=True)], ["pack", "ids", "digests", "sizes", "data", "n"])
 
-    rows, size = [], 0
-    for b in batches:
-        for digest, rep, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            data = text.encode()
-            if rows and size + len(data) > PACK_BYTES:
-                yield out(rows)
-                rows, size = [], 0
-            rows.append((digest, rep, data))
-            size += len(data)
-    if rows:
-        yield out(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for b in batches:
+            for digest, rep, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                data = text.encode()
+                if rows and size + len(data) > most:
+                    yield out(rows)
+                    rows, size = [], 0
+                rows.append((digest, rep, data))
+                size += len(data)
+        if rows:
+            yield out(rows)
+
+    return run
 
 
 class Pack:
@@ -420,45 +430,56 @@ def _power(n: float) -> int:
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per input row. Ids are whole numbers."""
     spark = docs.sparkSession
     small_batches(spark)
     t = whole_text(text_col)
     src = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("did"), t.alias("t"), F.unhex(F.sha2(F.encode(t, "UTF-8"), 256)).alias("digest"))
+    rows = snapshot(src.select("doc_id", "did", F.octet_length("t").cast("long").alias("n_bytes"), "digest"))
+    total = rows.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     texts = src.filter(F.octet_length("t") >= LENGTH).groupBy("digest").agg(F.min("did").alias("rep"), F.first("t").alias("t"))
     # Packs are a bucketed table, so that what comes back for a pack is shuffled to it and never the texts again.
     name = f"millrace_packs_{uuid.uuid4().hex}"
-    made = texts.select("digest", "rep", "t").mapInArrow(_pack, "pack bigint, ids binary, digests binary, sizes binary, data binary, n bigint")
-    buckets = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    made.write.format("parquet").option("compression", "none").bucketBy(buckets, "pack").saveAsTable(name)
-    packs = spark.table(name)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, max(12, least, -(-total // BUCKET_BYTES)))
+    made = texts.select("digest", "rep", "t").mapInArrow(_packer(min(MOST_PACK_BYTES, max(PACK_BYTES, total // PACKS))), "pack bigint, ids binary, digests binary, sizes binary, data binary, n bigint")
+    try:
+        made.write.format("parquet").option("compression", "none").bucketBy(buckets, "pack").saveAsTable(name)
+        results = _results(spark.table(name), least)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    copy = F.col("did") > F.col("rep")
+    return spread_join(rows, results, "digest", "left").select(
+        "doc_id",
+        "n_bytes",
+        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
+    )
+
+
+def _results(packs: DataFrame, least: int) -> DataFrame:
+    """digest, rep, n_removed, n_spans, kept_sha256 of the packs' texts. Exchanges have `least` partitions or as many as hold
+    a few ranges each."""
     total = packs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = _power(total * 2 / (SIDE + 2) / HASHES_A_RANGE)
     offers = packs.select("pack", "sizes", "data").mapInArrow(_offer(bits), "range bigint, pack bigint, hashes binary, twice binary")
-    answers = offers.groupBy("range").applyInArrow(_meet, "pack bigint, range bigint, mask binary")
+    answers = offers.repartition(max(least, (1 << bits) // 2), "range").groupBy("range").applyInArrow(_meet, "pack bigint, range bigint, mask binary")
     masks = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "mask")).alias("masks"))
     runs = snapshot(packs.join(masks, "pack").select("pack", "ids", "sizes", "data", "masks").mapInArrow(_sorted_runs(bits), _RUN))
     n, n_runs = runs.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    some = runs.filter(under(F.xxhash64("pack"), SAMPLED_RUNS / max(1, n_runs)))
+    parts = -(-n // SUFFIXES_A_RANGE)
+    sampled = min(MOST_SAMPLED_RUNS, max(SAMPLED_RUNS, parts // 25))
+    some = runs.filter(under(F.xxhash64("pack"), sampled / max(1, n_runs)))
     sample = sorted(x for r in some.select("sample").toLocalIterator() for x in (r[0][i : i + GRAM] for i in range(0, len(r[0]), GRAM)))
-    parts = max(1, min(len(sample), -(-n // SUFFIXES_A_RANGE)))
+    parts = max(1, min(len(sample), parts))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     cut = runs.select("pack", "shared", "rest", "least").mapInArrow(_cut(splitters), "range bigint, pack bigint, from bigint, shared binary, rest binary, least binary")
-    merged = cut.groupBy("range").applyInArrow(_merge, "pack bigint, from bigint, mask binary")
+    merged = cut.repartition(max(least, parts // 2), "range").groupBy("range").applyInArrow(_merge, "pack bigint, from bigint, mask binary")
     marks = merged.groupBy("pack").agg(F.collect_list(F.struct("from", "mask")).alias("marks"))
     known = runs.select("pack", "least", "at", "key_no").join(marks, "pack", "left")
     done = packs.join(known, "pack", "left").select("pack", "ids", "digests", "sizes", "data", "least", "at", "key_no", "marks")
-    results = snapshot(done.mapInArrow(_remove, "digest binary, rep bigint, n_removed bigint, n_spans bigint, kept_sha256 string"))
-    spark.sql(f"DROP TABLE {name}")
-    rows = src.select("doc_id", "did", F.octet_length("t").cast("long").alias("n_bytes"), "digest")
-    copy = F.col("did") > F.col("rep")
-    return rows.join(results, "digest", "left").select(
-        "doc_id",
-        "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("digest")))).alias("kept_sha256"),
-    )
+    return snapshot(done.mapInArrow(_remove, "digest binary, rep bigint, n_removed bigint, n_spans bigint, kept_sha256 string"))
 
 
 def oracle_sql() -> str:

@@ -155,6 +155,7 @@ def repeated(rows, length):
 
 def test_suffix_dedup(docs, rows, nothing, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PACK_BYTES", 6000)
+    monkeypatch.setattr(suffix_dedup, "BUCKET_BYTES", 2000)
     monkeypatch.setattr(suffix_dedup, "SUFFIXES_A_RANGE", 100)
     cols = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert counted(suffix_dedup.dedup(docs), *cols) == repeated(rows, 50)
