@@ -167,11 +167,11 @@ def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mark: str = "[
     Spans that overlap are replaced as one. Texts are scanned once, into a snapshot; only rows that hold a candidate are shuffled.
     A column n_chars, where there is one, follows the new text.
     """
-    carried = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    carried = F.struct(*[F.col(c) for c in docs.columns]).alias("__row")
     rows, spans = scan_spans(docs, owner_col, repo_cols, id_col, text_col, example_owners, carry=[carried])
     clean = (F.size("base") == 0) & (F.size("loose") == 0)
     bad = spans.filter(F.col("n_owners") < example_owners).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("x.s", "x.e"))).alias("cut"))
-    text = F.col(f"row.{text_col}")
+    text = F.col(f"__row.{text_col}")
     built = F.aggregate(
         "cut",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
@@ -181,8 +181,8 @@ def redact(docs: DataFrame, example_owners: int = EXAMPLE_OWNERS, mark: str = "[
         ),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))),
     )
-    new = {c: F.col(f"row.{c}") for c in docs.columns} | {text_col: F.when(F.col("cut").isNull(), text).otherwise(built)}
+    new = {c: F.col(f"__row.{c}") for c in docs.columns} | {text_col: F.when(F.col("cut").isNull(), text).otherwise(built)}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("cut").isNull(), F.col("row.n_chars")).otherwise(F.length(new[text_col]).cast("long"))
+        new["n_chars"] = F.when(F.col("cut").isNull(), F.col("__row.n_chars")).otherwise(F.length(new[text_col]).cast("long"))
     done = rows.filter(~clean).join(bad, "rid", "left").select(*[new[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
-    return rows.filter(clean).select(*[F.col(f"row.{c}").alias(c) for c in docs.columns]).unionByName(done)
+    return rows.filter(clean).select(*[F.col(f"__row.{c}").alias(c) for c in docs.columns]).unionByName(done)

@@ -281,8 +281,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHO
     own = small_benchmark(benchmark, item_col, item_text, most)
     if own is None:
         bad = _leaked_texts(docs, benchmark, threshold, text_col, item_col, item_text).select(F.col("digest").alias("__digest")).distinct().withColumn("__bad", F.lit(True))
-        rows = snapshot(docs.withColumn("__digest", _digest(text_col)))
-        return spread_join(rows, bad, "__digest", "left").filter(F.col("__bad").isNull()).select(*docs.columns)
+        rows = snapshot(docs.select(_digest(text_col).alias("__digest"), F.struct(*docs.columns).alias("__row")))
+        return spread_join(rows, bad, "__digest", "left").filter(F.col("__bad").isNull()).select("__row.*")
     at = docs.columns.index(text_col)
     sent = docs.sparkSession.sparkContext.broadcast(own)
 
