@@ -88,3 +88,54 @@ def top_k(vectors: DataFrame, query: list[float], k: int = 8, where: Column | No
     out = vectors if where is None else vectors.filter(where)
     scored = out.withColumn("raw", cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in query])))
     return scored.withColumn("score", F.round("raw", 4)).orderBy(F.desc("score"), id_col).limit(k).drop("raw", "embedding")
+
+
+def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = 8, id_col: str = "chunk_id", query_col: str = "query_id", part: int = 4096) -> DataFrame:
+    """query_id, the vectors' columns but the embedding, and score: for each query (query_id, embedding) the k rows of greatest
+    cosine similarity, exactly, to four places (ties by id). Vectors of length 0 are never found.
+
+    Queries go to the workers in blocks of `part`, one pass over the vectors each. A task keeps for each query only rows that
+    are at least as near as the k-th of a batch it has seen, so little is shuffled.
+    """
+    from itertools import batched
+
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql import Window
+
+    _within("k", k, 1, 32)
+    other = [c for c in vectors.columns if c != "embedding"]
+    kind = queries.schema[query_col].dataType.simpleString()
+    schema = f"{query_col} {kind}, " + ", ".join(f"{c} {vectors.schema[c].dataType.simpleString()}" for c in other) + ", score double"
+
+    def unit(x: np.ndarray) -> np.ndarray:
+        n = np.linalg.norm(x, axis=1, keepdims=True)
+        return np.divide(x, n, out=np.full_like(x, np.nan), where=n > 0)
+
+    def near(rows) -> DataFrame:
+        sent = vectors.sparkSession.sparkContext.broadcast(([r[0] for r in rows], unit(np.array([r[1] for r in rows], np.float64))))
+
+        def run(batches):
+            ids, q = sent.value
+            least = np.full(len(ids), -np.inf)
+            for b in batches:
+                own = [i for i, v in enumerate(b.column(len(other)).to_pylist()) if v is not None]
+                if not own:
+                    continue
+                e = unit(np.array(b.column(len(other)).take(pa.array(own)).to_pylist(), np.float64))
+                score = np.nan_to_num(np.floor((q @ e.T) * 1e4 + 0.5) / 1e4, nan=-np.inf)
+                if len(own) >= k:
+                    least = np.maximum(least, np.partition(score, len(own) - k, axis=1)[:, len(own) - k])
+                at, row = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+                take = pa.array(np.array(own)[row])
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in at]), *(b.column(c).take(take) for c in range(len(other))), pa.array(score[at, row])], [query_col, *other, "score"])
+
+        return vectors.select(*other, "embedding").mapInArrow(run, schema)
+
+    out = None
+    for rows in batched(queries.select(query_col, "embedding").filter("embedding IS NOT NULL").toLocalIterator(), part):
+        out = near(rows) if out is None else out.unionByName(near(rows))
+    if out is None:
+        return vectors.sparkSession.createDataFrame([], schema)
+    w = Window.partitionBy(query_col).orderBy(F.desc("score"), id_col)
+    return out.withColumn("__n", F.row_number().over(w)).filter(F.col("__n") <= k).drop("__n")

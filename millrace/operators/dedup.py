@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import block_keys, hamming
+from .store import shared_dir
 
 
 def first_wins(df: DataFrame, keys: list, order: list) -> DataFrame:
@@ -60,11 +61,7 @@ def greedy_keep(prints: DataFrame, pairs: DataFrame | None = None, id_col: str =
     round is written to the checkpoint folder and decides the first open node of each component at least; the number of
     rounds is the longest chain of waiting, not the number of documents. Pairs are sought here if they aren't given.
     """
-    spark = prints.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="millrace-"))
+    shared_dir(prints.sparkSession)
     firsts = prints.groupBy("simhash").agg(F.min(id_col).alias("id")).checkpoint()
     nodes = firsts.select("id")
     edges = (near_pairs(firsts, "id", most_bits) if pairs is None else pairs).select("a", "b").checkpoint()

@@ -77,11 +77,21 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(at, True)
 
 
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path for a job's files in the folder that driver and executors share (a temporary one where none is named)."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only in local mode where that is unset."""
     sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return f"{at.rstrip('/')}/millrace-{name}-{uuid.uuid4().hex}"
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not at and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    at = at or "file://" + tempfile.mkdtemp(prefix="millrace-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(at)
+    return at.rstrip("/")
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path for a job's files in the shared folder."""
+    return f"{shared_dir(spark)}/millrace-{name}-{uuid.uuid4().hex}"
 
 
 def replace(df: DataFrame, path: str) -> None:
@@ -117,7 +127,8 @@ def number_after(new: DataFrame, last: int, order: list) -> DataFrame:
     The counts (one a partition) are all that reaches the driver; no window runs over all rows in one task.
     """
     ranged = new.orderBy(*order).withColumn("__p", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id())
-    ranged = ranged.checkpoint() if new.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    shared_dir(new.sparkSession)
+    ranged = ranged.checkpoint()
     counts = {r["__p"]: r["n"] for r in ranged.groupBy("__p").agg(F.count("*").alias("n")).collect()}
     base, at = {}, last
     for p in sorted(counts):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from ..functions import fingerprint as fp
@@ -58,14 +56,7 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-EXT_SQL = ARTICLES_SQL + ", ext AS (SELECT * REPLACE (CASE id % 7 " + " ".join(f"WHEN {k} THEN concat(content_md, {_lit(v)})" for k, v in EXTRA.items()) + " WHEN 6 THEN left(content_md, 90) ELSE content_md END AS content_md) FROM articles)"
-
-
-def also(name: str, f, sql: str | None = None, **kw) -> None:
-    """Registers a query again under another name, with other arguments and the SQL that goes with them."""
-    Q[name] = partial(f, **kw)
-    if sql is not None:
-        SQL[name] = sql
+EXT_SQL = ARTICLES_SQL + ", ext AS (SELECT * REPLACE (CASE id % 7 " + " ".join(f"WHEN {k} THEN concat(content_md, {_lit(v)})" for k, v in EXTRA.items()) + " ELSE content_md END AS content_md) FROM articles)"
 
 
 def table(spark, sf_dir, name):
@@ -81,21 +72,16 @@ def articles(spark, sf_dir):
     )
 
 
-def articles_ext(spark, sf_dir, prefix: int | None = 90):
-    """Articles with what is added; texts of remainder 6 are cut to a prefix, or whole where that is None."""
+def articles_ext(spark, sf_dir):
+    """Articles with what is added."""
     a, text = articles(spark, sf_dir), F.col("content_md")
     out = None
     for k, v in EXTRA.items():
         hit, to = F.col("id") % 7 == k, F.concat(text, F.lit(v))
         out = F.when(hit, to) if out is None else out.when(hit, to)
-    if prefix is not None:
-        out = out.when(F.col("id") % 7 == 6, F.left(text, F.lit(prefix)))
     return a.withColumn("content_md", out.otherwise(text))
 
 
-articles_whole = partial(articles_ext, prefix=None)
-
-
 def as_of():
     return F.expr(AS_OF)
 
@@ -121,36 +107,31 @@ SCORE_SQL = "round(greatest(0.0, least(1.0, least(len / 3000.0::DOUBLE, 1.0) * 0
 
 
 @query(f"WITH {FEATURES_SQL} SELECT reason, count(*) AS n FROM gate GROUP BY reason")
-def gate_histogram(spark, sf_dir, ext=articles_ext):
+def gate_histogram(spark, sf_dir):
     """AGG13: rows by the gate's verdict, most first."""
-    return tx.assess(ext(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
+    return tx.assess(articles_ext(spark, sf_dir)).groupBy("reason").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, reason, reason IN ('code_rich', 'ok') AS keep FROM gate")
-def FLT03_gate_rows(spark, sf_dir, ext=articles_ext):
-    return tx.assess(ext(spark, sf_dir)).select("id", "reason", "keep")
+def FLT03_gate_rows(spark, sf_dir):
+    return tx.assess(articles_ext(spark, sf_dir)).select("id", "reason", "keep")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, len, n_words, code_chars::BIGINT AS code_chars, round(link_ratio, 4) AS link_ratio, round(unique_ratio, 4) AS unique_ratio, spam, help FROM features")
-def FN07_text_features(spark, sf_dir, ext=articles_ext):
-    d = ext(spark, sf_dir)
+def FN07_text_features(spark, sf_dir):
+    d = articles_ext(spark, sf_dir)
     f = d.withColumns(tx.features(F.col("content_md")))
     return f.select("id", F.col("len").cast("long").alias("len"), F.col("n_words").cast("long").alias("n_words"), F.col("code_chars").cast("long").alias("code_chars"), F.round("link_ratio", 4).alias("link_ratio"), F.round("unique_ratio", 4).alias("unique_ratio"), "spam", "help")
 
 
 @query(f"WITH {FEATURES_SQL} SELECT id, {SCORE_SQL} AS quality_score FROM features WHERE content_md <> ''")
-def FN12_quality_score(spark, sf_dir, ext=articles_ext):
-    return tx.assess(ext(spark, sf_dir)).filter("quality_score IS NOT NULL").select("id", "quality_score")
+def FN12_quality_score(spark, sf_dir):
+    return tx.assess(articles_ext(spark, sf_dir)).filter("quality_score IS NOT NULL").select("id", "quality_score")
 
 
 @query(f"""WITH {EXT_SQL} SELECT id, sha256(regexp_replace(regexp_replace(content_md, '{_P["fence"]}', ' ', 'g'), '{_P["inline"]}', ' ', 'g')) AS digest FROM ext""")
-def FN11_strip_code(spark, sf_dir, ext=articles_ext):
-    return ext(spark, sf_dir).select("id", F.sha2(tx.strip_code(F.col("content_md")), 256).alias("digest"))
-
-
-# The same over whole texts: the SQL of those above cuts the texts of remainder 6.
-for _f in (gate_histogram, FLT03_gate_rows, FN07_text_features, FN12_quality_score, FN11_strip_code):
-    also(f"{_f.__name__}_whole", _f, SQL[_f.__name__].replace(" WHEN 6 THEN left(content_md, 90)", ""), ext=articles_whole)
+def FN11_strip_code(spark, sf_dir):
+    return articles_ext(spark, sf_dir).select("id", F.sha2(tx.strip_code(F.col("content_md")), 256).alias("digest"))
 
 
 # Dashboard -----------------------------------------------------------------------------------------------------------
@@ -263,13 +244,15 @@ def JON07_neardup_pairs(spark, sf_dir):
     return dedup.near_pairs(prints(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {SIMHASH_SQL}, d AS (SELECT simhash, min(id) AS id FROM prints GROUP BY simhash), near AS (SELECT x.id, count(*) AS links FROM d x JOIN d y ON x.id <> y.id AND bit_count(xor(x.simhash, y.simhash)) <= 3 GROUP BY x.id) SELECT p.id, d.id AS representative, coalesce(links, 0) AS links FROM prints p JOIN d USING (simhash) LEFT JOIN near ON near.id = d.id")
 def JON07_neardup_members(spark, sf_dir):
     """What JON07_neardup_pairs leaves out: which documents each representative stands for."""
     return dedup.near_members(prints(spark, sf_dir))
 
 
-@query()
+@query(f"""WITH {SIMHASH_SQL}, d AS (SELECT simhash, min(id) AS id FROM prints GROUP BY simhash), arriving AS (SELECT list([{{'id': id, 'h': simhash}}] ORDER BY id) AS xs FROM d),
+kept AS (SELECT list_reduce(xs, lambda a, x: CASE WHEN len(list_filter(a, lambda y: bit_count(xor(y.h, x[1].h)) <= 3)) > 0 THEN a ELSE list_concat(a, x) END) AS ks FROM arriving)
+SELECT k.id AS id FROM (SELECT unnest(ks) AS k FROM kept)""")
 def JON07_neardup_greedy(spark, sf_dir):
     return dedup.greedy_keep(prints(spark, sf_dir))
 
@@ -386,27 +369,27 @@ def WIN01_snapshot_deltas(spark, sf_dir):
     return _naive(monitor.snapshot_deltas(snapshots(spark, sf_dir)), "taken_at")
 
 
-SAMPLES_SQL = f"""{OUTCOMES_SQL}, samples AS (SELECT date_trunc('hour', ts) AS taken_at, source_type AS source, count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome IN ({_REJ})) AS rejected FROM outcomes WHERE event_id % 5 = 0 GROUP BY ALL),
+SAMPLES_SQL = f"""{OUTCOMES_SQL}, samples AS (SELECT date_trunc('hour', ts) AS taken_at, source_type AS source, count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome IN ({_REJ})) AS rejected FROM outcomes GROUP BY ALL),
 t AS (SELECT taken_at, lag(taken_at) OVER (ORDER BY taken_at) AS prev FROM (SELECT DISTINCT taken_at FROM samples)),
 keys AS (SELECT t.taken_at, t.prev, s.source FROM t JOIN samples s ON s.taken_at = t.taken_at UNION SELECT t.taken_at, t.prev, s.source FROM t JOIN samples s ON s.taken_at = t.prev),
 deltas AS (SELECT k.taken_at, k.source, {", ".join(f"CASE WHEN k.prev IS NULL THEN 0 ELSE greatest(0, coalesce(c.{x}, 0) - coalesce(p.{x}, 0)) END::BIGINT AS {x}_delta" for x in ("produced", "stored", "rejected"))}
   FROM keys k LEFT JOIN samples c ON c.taken_at = k.taken_at AND c.source = k.source LEFT JOIN samples p ON p.taken_at = k.prev AND p.source = k.source)"""
 
 
-def source_deltas(spark, sf_dir, every: int = 5):
-    o = outcomes(spark, sf_dir).filter(F.col("event_id") % every == 0)
+def source_deltas(spark, sf_dir):
+    o = outcomes(spark, sf_dir)
     s = o.groupBy(F.date_trunc("hour", "ts").alias("taken_at"), F.col("source_type").alias("source")).agg(F.count("*").alias("produced"), F.count_if(F.col("outcome") == "stored").alias("stored"), F.count_if(F.col("outcome").isin(*monitor.BY_SOURCE)).alias("rejected"))
     return monitor.source_deltas(s)
 
 
 @query(f"WITH {SAMPLES_SQL} SELECT * FROM deltas")
-def WIN02_source_deltas(spark, sf_dir, every: int = 5):
-    return _naive(source_deltas(spark, sf_dir, every), "taken_at")
+def WIN02_source_deltas(spark, sf_dir):
+    return _naive(source_deltas(spark, sf_dir), "taken_at")
 
 
 @query(f"WITH {SAMPLES_SQL} SELECT time_bucket(INTERVAL 5 MINUTES, taken_at) AS bucket, " + ", ".join(f"coalesce(sum(produced_delta) FILTER (source = 'src{i}'), 0)::BIGINT AS src{i}" for i in range(6)) + " FROM deltas GROUP BY 1")
-def AGG18_activity_5min(spark, sf_dir, every: int = 5):
-    return _naive(monitor.activity(source_deltas(spark, sf_dir, every), [f"src{i}" for i in range(6)]), "bucket")
+def AGG18_activity_5min(spark, sf_dir):
+    return _naive(monitor.activity(source_deltas(spark, sf_dir), [f"src{i}" for i in range(6)]), "bucket")
 
 
 @query("SELECT time_bucket(INTERVAL 5 MINUTES, ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -417,13 +400,13 @@ def STR10_tumbling_counts(spark, sf_dir):
     return _naive(windowed_counts(e, "ts", "event_type"), "bucket")
 
 
-RUNS_SQL = """runs AS (SELECT concat('src', user_id % 6) AS source, ts AS finished_at, event_id % 9 AS pages, event_id % 40 AS published FROM events WHERE event_id % 10 = 0)"""
-EVENTS_AS_OF = "TIMESTAMP '2024-01-31 00:00:00'"
+RUNS_SQL = """runs AS (SELECT concat('src', user_id % 6) AS source, ts AS finished_at, event_id % 9 AS pages, event_id % 40 AS published FROM events)"""
+EVENTS_AS_OF = "TIMESTAMP '2024-01-31 04:00:00'"
 LIMITS = {"src0": 120, "src1": 300, "src2": 100000}
 
 
-def runs(spark, sf_dir, every: int = 10):
-    e = table(spark, sf_dir, "events").filter(F.col("event_id") % every == 0)
+def runs(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
     return e.select(F.concat(F.lit("src"), (F.col("user_id") % 6).cast("string")).alias("source"), F.col("ts").cast("timestamp").alias("finished_at"), (F.col("event_id") % 9).alias("pages"), (F.col("event_id") % 40).alias("published"))
 
 
@@ -433,13 +416,13 @@ status AS (SELECT l.source, finished_at, pages, published, coalesce(m, 180)::INT
 
 
 @query(f"WITH {STATUS_SQL} SELECT source, finished_at, pages, published, stale_after_minutes, round(age, 1) AS age_minutes, CASE WHEN age <= stale_after_minutes THEN 'ok' ELSE 'stale' END AS status FROM status")
-def JON10_run_status(spark, sf_dir, every: int = 10):
-    return _naive(monitor.run_status(runs(spark, sf_dir, every), F.expr(EVENTS_AS_OF), LIMITS), "finished_at")
+def JON10_run_status(spark, sf_dir):
+    return _naive(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS), "finished_at")
 
 
-@query(f"WITH {STATUS_SQL} SELECT string_agg(source, ',' ORDER BY source) FILTER (age > stale_after_minutes) AS stale, CASE WHEN count(*) FILTER (age > stale_after_minutes) > 0 THEN 'stale' ELSE 'ok' END AS status FROM status")
-def AGG21_overall_status(spark, sf_dir, every: int = 10):
-    o = monitor.overall(monitor.run_status(runs(spark, sf_dir, every), F.expr(EVENTS_AS_OF), LIMITS))
+@query(f"WITH {STATUS_SQL} SELECT coalesce(string_agg(source, ',' ORDER BY source) FILTER (age > stale_after_minutes), '') AS stale, CASE WHEN count(*) FILTER (age > stale_after_minutes) > 0 THEN 'stale' ELSE 'ok' END AS status FROM status")
+def AGG21_overall_status(spark, sf_dir):
+    o = monitor.overall(monitor.run_status(runs(spark, sf_dir), F.expr(EVENTS_AS_OF), LIMITS))
     return o.select(F.concat_ws(",", "stale").alias("stale"), "status")
 
 
@@ -534,31 +517,40 @@ def SNK11_sharegpt(spark, sf_dir):
 # Chunks, vectors -----------------------------------------------------------------------------------------------------
 
 
-def _chunk_articles(spark, sf_dir, ext=articles_whole):
-    a = ext(spark, sf_dir)
-    return a.withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
-
-
-@query()
-def FN19_chunks(spark, sf_dir):
-    return rag.chunks(_chunk_articles(spark, sf_dir))
+def chunk_sql(src: str, least: int = 30) -> str:
+    """chunks (id, url, chunk_index, n_chunks, path, text) of src: sections by folding headings, pieces by folding paragraphs."""
+    heading, two = r"^(#{1,6})\s+(.*\S)\s*$", "chr(10) || chr(10)"
+    return rf"""lines AS (SELECT id, url, unnest(string_split(content_md, chr(10))) AS line, generate_subscripts(string_split(content_md, chr(10)), 1) AS no FROM {src}),
+numbered AS (SELECT *, count(*) FILTER (regexp_matches(line, '{heading}')) OVER (PARTITION BY id ORDER BY no) AS sec FROM lines),
+sections AS (SELECT id, url, sec, trim(string_agg(line, chr(10) ORDER BY no), {TRIM}) AS body, max(length(regexp_extract(line, '{heading}', 1))) AS l, max(regexp_extract(line, '{heading}', 2)) AS title FROM numbered GROUP BY id, url, sec),
+headed AS (SELECT *, list({{'l': l, 'p': [title]}}) FILTER (sec > 0) OVER (PARTITION BY id ORDER BY sec) AS heads FROM sections),
+pathed AS (SELECT id, url, sec, body, CASE WHEN sec > 0 THEN list_reduce(heads, lambda a, x: {{'l': x.l, 'p': list_concat(a.p[1:x.l - 1], x.p)}}).p ELSE [] END AS path FROM headed),
+paras AS (SELECT *, list_filter(list_transform(string_split_regex(body, '\n\s*\n'), lambda x: trim(x, {TRIM})), lambda x: x <> '') AS ps FROM pathed WHERE length(body) > 1200),
+split AS (SELECT *, list_position(list_transform(ps, lambda x: len(list_filter(string_split(x, chr(10)), lambda y: NOT regexp_matches(y, '{heading}'))) > 0), true) AS f FROM paras),
+folded AS (SELECT id, url, sec, path, ps[1:f - 1] AS head, list_reduce(list_transform(ps[f:], lambda x: {{'out': []::VARCHAR[], 'held': [x]}}), lambda a, x:
+  CASE WHEN length(array_to_string(list_concat(a.held, x.held), {two})) > 1200
+  THEN {{'out': list_append(a.out, array_to_string(a.held, {two})), 'held': list_concat(list_filter(a.held, lambda p, i: list_sum(list_transform(a.held[i:], lambda q: length(q) + 2)) <= 150), x.held)}}
+  ELSE {{'out': a.out, 'held': list_concat(a.held, x.held)}} END) AS r FROM split WHERE f > 0),
+cut AS (SELECT id, url, sec, path, list_transform(list_append(r.out, array_to_string(r.held, {two})), lambda c: array_to_string(list_append(head, c), {two})) AS cs FROM folded
+  UNION ALL SELECT id, url, sec, path, [body] FROM pathed WHERE length(body) <= 1200),
+pieces AS (SELECT id, url, sec, path, unnest(cs) AS text, generate_subscripts(cs, 1) AS k FROM cut),
+chunks AS (SELECT id, url, (row_number() OVER (PARTITION BY id ORDER BY sec, k) - 1)::INT AS chunk_index, (count(*) OVER (PARTITION BY id))::INT AS n_chunks, path, text FROM pieces WHERE length(text) >= {least})"""
 
 
-_BLANK = r"^[ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+$"
+def chunk_articles(spark, sf_dir, of=articles):
+    return of(spark, sf_dir).withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
 
 
-@query(f"WITH {ARTICLES_SQL} SELECT left(sha256(url), 16) || '_0' AS chunk_id, id AS article_id, 1 AS n_chunks, trim(content_md, {TRIM}) AS text FROM articles WHERE id > 100 AND length(trim(content_md, {TRIM})) BETWEEN 30 AND 1200")
-def WIN05_single_chunks(spark, sf_dir):
-    """Incremental export (FLT09) of articles that are one chunk."""
-    a = articles(spark, sf_dir).withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
-    short = a.filter(F.length(qa.trimmed(F.col("content_md"))) <= 1200)
-    return rag.chunks(short, after_id=100).select("chunk_id", "article_id", "n_chunks", "text")
+@query(f"WITH {EXT_SQL}, {chunk_sql('ext')} SELECT left(sha256(url), 16) || '_' || chunk_index AS chunk_id, id AS article_id, chunk_index, n_chunks, array_to_string(path, '/') AS path, text FROM chunks WHERE id > 0")
+def FN19_chunks(spark, sf_dir):
+    """FN17-19: the chunks of all articles, with what was added to them."""
+    return rag.chunks(chunk_articles(spark, sf_dir, articles_ext)).select("chunk_id", "article_id", "chunk_index", "n_chunks", F.array_join("heading_path", "/").alias("path"), "text")
 
 
-@query()
+@query(f"WITH {ARTICLES_SQL}, {chunk_sql('articles')} SELECT left(sha256(url), 16) || '_' || chunk_index AS chunk_id, id AS article_id, chunk_index, n_chunks, text FROM chunks WHERE id > 100")
 def WIN05_chunks(spark, sf_dir):
     """Incremental export (FLT09) of all articles, of one chunk or many."""
-    return rag.chunks(_chunk_articles(spark, sf_dir, articles), after_id=100).select("chunk_id", "article_id", "chunk_index", "n_chunks", "text")
+    return rag.chunks(chunk_articles(spark, sf_dir), after_id=100).select("chunk_id", "article_id", "chunk_index", "n_chunks", "text")
 
 
 VECTORS_SQL = "vectors AS (SELECT concat('c', vec_id) AS chunk_id, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings)"
@@ -568,24 +560,30 @@ def vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(F.concat(F.lit("c"), F.col("vec_id").cast("string")).alias("chunk_id"), "vec_id", "label", "embedding")
 
 
-def _query_vector(spark, sf_dir):
-    return list(vectors(spark, sf_dir).filter("vec_id = 7").first()["embedding"])
+def _topk_sql(k: int, where: str = "true") -> str:
+    return f"""WITH {VECTORS_SQL}, scored AS (SELECT q.vec_id AS query_id, v.chunk_id, v.label, round(list_cosine_similarity(v.e, q.e), 4) AS score FROM vectors q, vectors v WHERE q.vec_id % 100 = 0 AND {where})
+SELECT query_id, chunk_id, label, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS n FROM scored) WHERE n <= {k}"""
+
+
+def _queries(spark, sf_dir):
+    """The query set: every row whose id is divisible by 100."""
+    return vectors(spark, sf_dir).filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
-@query(f"WITH {VECTORS_SQL} SELECT chunk_id, vec_id, label, round(list_cosine_similarity(e, (SELECT e FROM vectors WHERE vec_id = 7)), 4) AS score FROM vectors ORDER BY score DESC, chunk_id LIMIT 8")
+@query(_topk_sql(8))
 def TOP02_vector_topk(spark, sf_dir):
-    return db.top_k(vectors(spark, sf_dir), _query_vector(spark, sf_dir), 8)
+    return db.top_k_many(vectors(spark, sf_dir).drop("vec_id"), _queries(spark, sf_dir), 8)
 
 
-@query(f"WITH {VECTORS_SQL} SELECT chunk_id, vec_id, label, round(list_cosine_similarity(e, (SELECT e FROM vectors WHERE vec_id = 7)), 4) AS score FROM vectors WHERE label = 3 AND vec_id >= 20 ORDER BY score DESC, chunk_id LIMIT 5")
+@query(_topk_sql(5, "v.label = 3 AND v.vec_id >= 20"))
 def FLT07_vector_topk_filtered(spark, sf_dir):
-    return db.top_k(vectors(spark, sf_dir), _query_vector(spark, sf_dir), 5, (F.col("label") == 3) & (F.col("vec_id") >= 20))
+    v = vectors(spark, sf_dir).filter((F.col("label") == 3) & (F.col("vec_id") >= 20)).drop("vec_id")
+    return db.top_k_many(v, _queries(spark, sf_dir), 5)
 
 
-@query(f"WITH {VECTORS_SQL}, c AS (SELECT concat('c', doc_id) AS chunk_id, length(text) AS n FROM documents WHERE doc_id % 2 = 0) SELECT chunk_id, n, vec_id FROM c JOIN vectors USING (chunk_id)")
+@query(f"WITH {VECTORS_SQL}, c AS (SELECT concat('c', doc_id) AS chunk_id, length(text) AS n FROM documents ) SELECT chunk_id, n, vec_id FROM c JOIN vectors USING (chunk_id)")
 def JON04_vector_join(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").filter("doc_id % 2 = 0")
-    c = d.select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"), F.length("text").alias("n"))
+    c = table(spark, sf_dir, "documents").select(F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("chunk_id"), F.length("text").alias("n"))
     twice = c.withColumn("line", F.lit(1)).union(c.select("chunk_id", F.lit(0), F.lit(0)))  # an earlier line of each
     return rag.with_vectors(twice, vectors(spark, sf_dir), ["line"]).select("chunk_id", "n", "vec_id")
 

@@ -10,7 +10,7 @@ from ..functions.markdown import unescape
 from ..operators import dashboard as db
 from ..operators import dedup, monitor, qa, rag, store
 from ..sources import adapters
-from .catalogue import SQL, _REJ, ARTICLES_SQL, EVENTS_AS_OF, HOURS_SQL, OUTCOMES_SQL, RUNS_SQL, SAMPLES_SQL, SIMHASH_SQL, TRIM, VECTORS_SQL, _chunk_articles, _naive, also, articles, articles_ext, outcomes, prints, Q, query, runs, snapshots, source_deltas, table, vectors
+from .catalogue import ARTICLES_SQL, EVENTS_AS_OF, EXT_SQL, HOURS_SQL, OUTCOMES_SQL, RUNS_SQL, SAMPLES_SQL, SIMHASH_SQL, VECTORS_SQL, chunk_articles, chunk_sql, _naive, articles, articles_ext, outcomes, prints, query, runs, snapshots, source_deltas, table, vectors
 
 # Sources -------------------------------------------------------------------------------------------------------------
 
@@ -68,19 +68,19 @@ def JON05_question_bodies(spark, sf_dir):
     return _questions(spark, sf_dir).select("question_id").join(b, "question_id", "left")
 
 
-@query("WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events WHERE event_id % 10 = 0) SELECT event_id AS question_id, pos::INT AS pos, (event_id % 7)::INT AS score FROM e WHERE user_id % 4 <> 0")
-def SRC09_envelopes(spark, sf_dir, every: int = 10):
+@query("WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM events) SELECT event_id AS question_id, pos::INT AS pos, (event_id % 7)::INT AS score FROM e WHERE user_id % 4 <> 0")
+def SRC09_envelopes(spark, sf_dir):
     """Answers of a service as JSON texts, a user's events in each; every fourth user's is an error."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_id") % every == 0)
+    e = table(spark, sf_dir, "events")
     item = F.struct(F.col("event_id").alias("question_id"), (F.col("event_id") % 7).alias("score"))
     raw = e.groupBy("user_id").agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("ok"))
     value = F.when(F.col("user_id") % 4 == 0, '{"error_id":502,"error_message":"throttle"}').otherwise(F.col("ok"))
     return adapters.opened(raw.select(F.from_json(value, adapters.ENVELOPE).alias("e")).select("e.*")).select("question_id", "pos", "score")
 
 
-@query(f"WITH {ARTICLES_SQL} SELECT id, crawled_at AS published_at FROM articles WHERE id % 50 < 3 ORDER BY crawled_at DESC LIMIT 40")
-def TOP05_newest_first(spark, sf_dir, below: int = 3):
-    a = articles(spark, sf_dir).filter(F.col("id") % 50 < below).select("id", F.col("crawled_at").alias("published_at"), F.col("id").alias("pos"))
+@query(f"WITH {ARTICLES_SQL} SELECT id, crawled_at AS published_at FROM articles ORDER BY crawled_at DESC LIMIT 40")
+def TOP05_newest_first(spark, sf_dir):
+    a = articles(spark, sf_dir).select("id", F.col("crawled_at").alias("published_at"), F.col("id").alias("pos"))
     return _naive(adapters.newest_first(a).limit(40).drop("pos"), "published_at")
 
 
@@ -140,8 +140,8 @@ def FN03_tokens(spark, sf_dir):
 
 
 @query(f"WITH {RUNS_SQL} SELECT source, max(finished_at) AS finished_at, arg_max(pages, finished_at) AS pages FROM runs GROUP BY source")
-def WIN06_latest_runs(spark, sf_dir, every: int = 10):
-    return _naive(monitor.latest_runs(runs(spark, sf_dir, every)).select("source", "finished_at", "pages"), "finished_at")
+def WIN06_latest_runs(spark, sf_dir):
+    return _naive(monitor.latest_runs(runs(spark, sf_dir)).select("source", "finished_at", "pages"), "finished_at")
 
 
 @query(f"WITH {ARTICLES_SQL} SELECT count(*) AS n FROM articles")
@@ -269,8 +269,8 @@ def JON08_counter_growth(spark, sf_dir):
 @query(f"""WITH {SAMPLES_SQL}, last AS (SELECT * FROM deltas WHERE taken_at = (SELECT max(taken_at) FROM deltas)),
 tot AS (SELECT count(*) AS produced, count(*) FILTER (outcome = 'stored') AS stored, count(*) FILTER (outcome <> 'stored') AS rejected FROM outcomes)
 SELECT produced, stored, rejected, 3 AS pending, 2 AS dlq, 7::BIGINT AS stream_len, (SELECT string_agg(source || '=' || produced_delta || '/' || stored_delta || '/' || rejected_delta, ',' ORDER BY source) FROM last) AS by_source FROM tot""")
-def SNK07_snapshot(spark, sf_dir, every: int = 5):
-    d = source_deltas(spark, sf_dir, every)
+def SNK07_snapshot(spark, sf_dir):
+    d = source_deltas(spark, sf_dir)
     last = d.join(d.agg(F.max("taken_at").alias("taken_at")), "taken_at", "left_semi")
     s = monitor.snapshot(outcomes(spark, sf_dir), last, F.expr(EVENTS_AS_OF), 3, 2, 7)
     flat = F.transform(F.map_entries("by_source"), lambda e: F.concat(e["key"], F.lit("="), *[x for i, k in enumerate(("produced", "stored", "rejected")) for x in ([F.lit("/")] * (i > 0) + [e["value"][f"{k}_delta"].cast("string")])]))
@@ -286,36 +286,17 @@ def SET03_concatenation(spark, sf_dir):
 # Chunks --------------------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {ARTICLES_SQL} SELECT to_json({{'chunk_id': left(sha256(url), 16) || '_0', 'article_id': id, 'heading_path': []::VARCHAR[], 'chunk_index': 0, 'n_chunks': 1, 'n': length(trim(content_md, {TRIM}))}}) AS value
-FROM articles WHERE id > 0 AND length(trim(content_md, {TRIM})) BETWEEN 30 AND 1200""")
+@query(f"""WITH {ARTICLES_SQL}, {chunk_sql('articles')} SELECT to_json({{'chunk_id': left(sha256(url), 16) || '_' || chunk_index, 'article_id': id, 'heading_path': path, 'chunk_index': chunk_index, 'n_chunks': n_chunks, 'n': length(text)}}) AS value FROM chunks WHERE id > 0""")
 def SNK12_chunk_lines(spark, sf_dir):
-    """SNK12, FLT13, AGG16: the JSON lines of articles that are one chunk."""
-    a = articles(spark, sf_dir).withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
-    short = a.filter(F.length(qa.trimmed(F.col("content_md"))) <= 1200)
-    c = rag.chunks(short).withColumn("n", F.length("text"))
-    return db.as_json(c, ["chunk_id", "article_id", "heading_path", "chunk_index", "n_chunks", "n"])
-
-
-@query("SELECT doc_id AS article_id, 'Title' AS path, 1 AS chunk_index FROM documents WHERE doc_id % 7 = 5 AND length(text) BETWEEN 30 AND 1000 AND position('#' IN text) = 0 UNION ALL SELECT doc_id, 'Title/Part', 2 FROM documents WHERE doc_id % 7 = 5 AND length(text) BETWEEN 30 AND 1000 AND position('#' IN text) = 0")
-def WIN08_heading_paths(spark, sf_dir):
-    """FN17, WIN08, WIN05: where chunks under two added headings stand."""
-    a = articles(spark, sf_dir).filter(F.length("content_md").between(30, 1000) & (F.instr("content_md", "#") == 0)).select("id")
-    ext = articles_ext(spark, sf_dir).filter("id % 7 = 5").join(a, "id", "left_semi").withColumns({"title": F.lit("t"), "tags": F.lit(None).cast("array<string>"), "published_at": F.col("crawled_at")})
-    c = rag.chunks(ext, min_chars=1).filter(F.size("heading_path") > 0)
-    return c.select("article_id", F.array_join("heading_path", "/").alias("path"), "chunk_index")
-
-
-@query()
-def SNK12_chunk_lines_whole(spark, sf_dir):
     """SNK12, FLT13, AGG16: the JSON lines of all articles' chunks."""
-    c = rag.chunks(_chunk_articles(spark, sf_dir, articles)).withColumn("n", F.length("text"))
+    c = rag.chunks(chunk_articles(spark, sf_dir)).withColumn("n", F.length("text"))
     return db.as_json(c, ["chunk_id", "article_id", "heading_path", "chunk_index", "n_chunks", "n"])
 
 
-@query()
-def WIN08_heading_paths_whole(spark, sf_dir):
+@query(f"WITH {EXT_SQL}, {chunk_sql('ext', 1)} SELECT id AS article_id, array_to_string(path, '/') AS path, chunk_index FROM chunks WHERE len(path) > 0")
+def WIN08_heading_paths(spark, sf_dir):
     """FN17, WIN08, WIN05: where all articles' chunks under headings stand."""
-    c = rag.chunks(_chunk_articles(spark, sf_dir), min_chars=1).filter(F.size("heading_path") > 0)
+    c = rag.chunks(chunk_articles(spark, sf_dir, articles_ext), min_chars=1).filter(F.size("heading_path") > 0)
     return c.select("article_id", F.array_join("heading_path", "/").alias("path"), "chunk_index")
 
 
@@ -350,9 +331,3 @@ def STR03_stream_urls(spark, sf_dir):
     m.union(m).write.json(f"{root}/landing")
     distinct_urls(message_stream(spark, f"{root}/landing")).writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start(f"{root}/out").awaitTermination()
     return spark.read.schema("value STRING").parquet(f"{root}/out").select(F.get_json_object("value", "$.url").alias("url"))
-
-
-# The same over all rows: the SQL of those above takes one row in five, in ten, or three in fifty.
-for _n in ("WIN02_source_deltas", "AGG18_activity_5min", "SNK07_snapshot", "JON10_run_status", "AGG21_overall_status", "WIN06_latest_runs", "SRC09_envelopes"):
-    also(f"{_n}_whole", Q[_n], SQL[_n].replace(" WHERE event_id % 5 = 0", "").replace(" WHERE event_id % 10 = 0", ""), every=1)
-also("TOP05_newest_first_whole", Q["TOP05_newest_first"], SQL["TOP05_newest_first"].replace(" WHERE id % 50 < 3", ""), below=50)

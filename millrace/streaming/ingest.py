@@ -1,23 +1,24 @@
 """Streaming ingest: messages -> gate, language, duplicates -> articles, outcomes, dead letters.
 
-Every write of a micro-batch is idempotent: articles and dead letters are appended if their key is absent, outcomes carry the
-batch's number and are replaced when a batch is replayed. A failed batch is replayed from the source's checkpoint.
+A failed batch is replayed from the source's checkpoint. What becomes of a message is decided once: outcomes are written under the
+batch's number before anything follows from them, and a replay finds and keeps them. Articles and dead letters are appended
+if their key is absent, so a replay adds just what the failed attempt did not.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.fingerprint import simhash_blake2b
 from ..functions.scalars import url_hash
 from ..functions.text import Gate, assess
-from ..operators.dedup import first_wins, greedy_keep, probe
+from ..operators.dedup import append_if_absent, first_wins, greedy_keep, probe, unexpired
 from ..operators.language import with_language
-from ..operators.store import dead_letters, number_after
+from ..operators.store import dead_letters, exists, number_after
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,8 @@ class Ingest:
     languages: tuple[str, ...] = ("en",)
     gate: Gate = Gate()
     most_bits: int = 3
+    #: Near duplicates are sought among the articles of these last days only; None: among all.
+    near_days: int | None = None
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """The table as it is now; empty if nothing was written."""
@@ -44,31 +47,38 @@ class Ingest:
         m = parsed.filter("m.url IS NOT NULL").select("msg_id", "value", "m.*").withColumn("url_hash", url_hash(F.col("url")))
         m = first_wins(m, ["url_hash"], ["msg_id"])
         judged = with_language(assess(m, gate=self.gate), "content_md")
-        known = self.table(spark, "articles").select("url_hash", "content_hash").withColumn("known", F.lit(True))
+        known = self.table(spark, "articles").select("url_hash", "content_hash", F.col("crawled_at").alias("indexed_at")).withColumn("known", F.lit(True))
         judged = judged.join(known.select("url_hash", "known"), "url_hash", "left")
         prints = simhash_blake2b(judged.filter("keep AND known IS NULL"), "msg_id", "content_md")
         judged = judged.join(prints, "msg_id", "left").persist()
+        at, now = f"{self.root}/outcomes/batch={batch_id}", F.current_timestamp()
         try:
-            fresh = judged.filter("keep AND known IS NULL").select("msg_id", "simhash")
-            near = probe(fresh, known.select(F.col("content_hash").alias("simhash")).filter("simhash IS NOT NULL"), "msg_id", self.most_bits)
-            # What no stored article is near arrives in the order of msg_id: a message that a kept one of the batch is near is dropped.
-            arrives = judged.filter(F.col("keep") & F.col("known").isNull() & F.col("language").isin(*self.languages)).select("msg_id", "simhash")
-            kept = greedy_keep(arrives.join(near, "msg_id", "left_anti"), id_col="msg_id", most_bits=self.most_bits)
-            dup = fresh.join(kept, "msg_id", "left_anti").select("msg_id").withColumn("dup", F.lit(True))
-            outcome = F.when(F.col("known"), "seen").when(~F.col("keep"), F.col("reason")).when(~F.col("language").isin(*self.languages), "lang").when(F.col("dup"), "dup").otherwise("stored")
-            done = judged.join(dup, "msg_id", "left").withColumn("outcome", outcome).persist()
-            now = F.current_timestamp()
+            if not exists(spark, f"{at}/_SUCCESS"):
+                self.decide(judged, known, batch_id, now).write.mode("overwrite").parquet(at)
+            decided = spark.read.schema(schemas.TABLES["outcomes"]).parquet(at).filter("outcome = 'stored'").select("msg_id")
+            stored = append_if_absent(judged.join(decided, "msg_id", "left_semi"), self.table(spark, "articles"), "url_hash", ["msg_id"])
             last = self.table(spark, "articles").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-            stored = number_after(done.filter("outcome = 'stored'"), last, ["msg_id"])
-            rows = stored.select("id", "url", "url_hash", "title", "content_md", "author", F.to_timestamp("published_at").alias("published_at"), now.alias("crawled_at"), "tags", "source_type", "language", "quality_score", F.col("simhash").alias("content_hash"))
-            counts = done.select(F.lit(batch_id).cast("long").alias("batch_id"), "msg_id", "source_type", "outcome", now.alias("ts"))
-            counts.write.mode("overwrite").parquet(f"{self.root}/outcomes/batch={batch_id}")
+            rows = number_after(stored, last, ["msg_id"])
+            rows = rows.select("id", "url", "url_hash", "title", "content_md", "author", F.to_timestamp("published_at").alias("published_at"), now.alias("crawled_at"), "tags", "source_type", "language", "quality_score", F.col("simhash").alias("content_hash"))
             letters = bad.select(F.col("msg_id").alias("stream_msg_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("title"), F.lit("parse").alias("reason"), F.left("value", F.lit(500)).alias("detail"), F.col("value").alias("article"))
             dead_letters(letters, self.table(spark, "dead_letters"), now).write.mode("append").parquet(f"{self.root}/dead_letters")
             rows.write.mode("append").parquet(f"{self.root}/articles")
         finally:
             judged.unpersist()
 
+    def decide(self, judged: DataFrame, known: DataFrame, batch_id: int, now: Column) -> DataFrame:
+        """batch_id, msg_id, source_type, outcome, ts for each message of a batch."""
+        fresh = judged.filter("keep AND known IS NULL").select("msg_id", "simhash")
+        index = unexpired(known.select(F.col("content_hash").alias("simhash"), "indexed_at").filter("simhash IS NOT NULL"), now, self.near_days)
+        near = probe(fresh, index, "msg_id", self.most_bits)
+        # What no stored article is near arrives in the order of msg_id: a message that a kept one of the batch is near is dropped.
+        arrives = judged.filter(F.col("keep") & F.col("known").isNull() & F.col("language").isin(*self.languages)).select("msg_id", "simhash")
+        kept = greedy_keep(arrives.join(near, "msg_id", "left_anti"), id_col="msg_id", most_bits=self.most_bits)
+        dup = fresh.join(kept, "msg_id", "left_anti").select("msg_id").withColumn("dup", F.lit(True))
+        outcome = F.when(F.col("known"), "seen").when(~F.col("keep"), F.col("reason")).when(~F.col("language").isin(*self.languages), "lang").when(F.col("dup"), "dup").otherwise("stored")
+        done = judged.join(dup, "msg_id", "left").withColumn("outcome", outcome)
+        return done.select(F.lit(batch_id).cast("long").alias("batch_id"), "msg_id", "source_type", "outcome", now.alias("ts"))
+
     def start(self, messages: DataFrame, checkpoint: str, every: str | None = None):
         """messages: a stream of msg_id, value. Runs over what is there, or every so often."""
         w = messages.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint)
