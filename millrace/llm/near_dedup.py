@@ -47,7 +47,7 @@ SKETCH = ["s0", "s1", "s2", "s3"]
 BLOCK = (20_000, 400_000)
 SALTS = 16
 #: A hub's members are compared in parts of about as many shingles, and members, as this.
-PART = (1_000_000, 512)
+PART = (1_000_000, 256)
 #: Columns of the dense matrices whose product counts shared shingles.
 COLUMNS = 2048
 #: Up to this many ids (8 bytes each) are broadcast to pick texts out; more go by a shuffle.
