@@ -46,7 +46,7 @@ PACK_BYTES, MOST_PACK_BYTES, PACKS = 4_000_000, 32_000_000, 1 << 17
 #: Bytes that one bucket of the table of packs holds, and the most buckets.
 BUCKET_BYTES, MOST_BUCKETS = 12_000_000, 100_000
 #: Hashes, and suffixes, that one range of an exchange holds on average.
-HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 100_000
+HASHES_A_RANGE, SUFFIXES_A_RANGE = 500_000, 50_000
 #: Bits of an anchor's hash. Two anchors of one hash are taken for repeated, and told apart when their suffixes are merged.
 HASH_BITS = 48
 #: Splitters are chosen from some hundred suffixes of each of as many runs as give four for each range, between these numbers.
@@ -445,7 +445,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     made = texts.select("digest", "rep", "t").mapInArrow(_packer(min(MOST_PACK_BYTES, max(PACK_BYTES, total // PACKS))), "pack bigint, ids binary, digests binary, sizes binary, data binary, n bigint")
     try:
         made.write.format("parquet").option("compression", "none").bucketBy(buckets, "pack").saveAsTable(name)
-        results = _results(spark.table(name), least)
+        results = _results(spark.table(name))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     copy = F.col("did") > F.col("rep")
@@ -458,13 +458,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     )
 
 
-def _results(packs: DataFrame, least: int) -> DataFrame:
-    """digest, rep, n_removed, n_spans, kept_sha256 of the packs' texts. Exchanges have `least` partitions or as many as hold
-    a few ranges each."""
+def _results(packs: DataFrame) -> DataFrame:
+    """digest, rep, n_removed, n_spans, kept_sha256 of the packs' texts. Exchanges have a partition for each range."""
+    spark = packs.sparkSession
     total = packs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bits = _power(total * 2 / (SIDE + 2) / HASHES_A_RANGE)
     offers = packs.select("pack", "sizes", "data").mapInArrow(_offer(bits), "range bigint, pack bigint, hashes binary, twice binary")
-    answers = offers.repartition(max(least, (1 << bits) // 2), "range").groupBy("range").applyInArrow(_meet, "pack bigint, range bigint, mask binary")
+    answers = offers.repartition(1 << bits, "range").groupBy("range").applyInArrow(_meet, "pack bigint, range bigint, mask binary")
     masks = answers.groupBy("pack").agg(F.collect_list(F.struct("range", "mask")).alias("masks"))
     runs = snapshot(packs.join(masks, "pack").select("pack", "ids", "sizes", "data", "masks").mapInArrow(_sorted_runs(bits), _RUN))
     n, n_runs = runs.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -475,7 +475,7 @@ def _results(packs: DataFrame, least: int) -> DataFrame:
     parts = max(1, min(len(sample), parts))
     splitters = sorted({sample[len(sample) * i // parts] for i in range(1, parts)}) if sample else []
     cut = runs.select("pack", "shared", "rest", "least").mapInArrow(_cut(splitters), "range bigint, pack bigint, from bigint, shared binary, rest binary, least binary")
-    merged = cut.repartition(max(least, parts // 2), "range").groupBy("range").applyInArrow(_merge, "pack bigint, from bigint, mask binary")
+    merged = cut.repartition(max(spark.sparkContext.defaultParallelism, parts), "range").groupBy("range").applyInArrow(_merge, "pack bigint, from bigint, mask binary")
     marks = merged.groupBy("pack").agg(F.collect_list(F.struct("from", "mask")).alias("marks"))
     known = runs.select("pack", "least", "at", "key_no").join(marks, "pack", "left")
     done = packs.join(known, "pack", "left").select("pack", "ids", "digests", "sizes", "data", "least", "at", "key_no", "marks")
