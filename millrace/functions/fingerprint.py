@@ -8,9 +8,11 @@ from functools import reduce
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .text import TOKEN, all_of
 
@@ -28,20 +30,38 @@ def bands(h: Column, n: int = 4, bits: int = 64) -> list[Column]:
     return [F.shiftrightunsigned(h, bits - w * (i + 1)).bitwiseAND(F.lit(mask).cast("long")) for i in range(n)]
 
 
+def block_masks(blocks: int = 6) -> list[int]:
+    """The bits of each block, as signed 64-bit numbers."""
+    cuts = [64 * i // blocks for i in range(blocks + 1)]
+    masks = [((1 << (z - a)) - 1) << a for a, z in zip(cuts, cuts[1:], strict=False)]
+    return [m - (1 << 64) if m >> 63 else m for m in masks]
+
+
 def block_keys(h: Column, blocks: int = 6, agree: int = 3) -> Column:
     """Keys of which fingerprints within (blocks - agree) bits share one at least: every choice of `agree` of the blocks.
 
     At three bits the keys have 30 bits or more, where four bands have 16: buckets stay small as the corpus grows.
     """
-    cuts = [64 * i // blocks for i in range(blocks + 1)]
-    out = []
+    masks, out = block_masks(blocks), []
     for no, choice in enumerate(combinations(range(blocks), agree)):
-        mask = sum(((1 << (cuts[i + 1] - cuts[i])) - 1) << cuts[i] for i in choice)
-        signed = mask - (1 << 64) if mask >> 63 else mask
-        out.append(F.struct(F.lit(no).alias("no"), h.bitwiseAND(F.lit(signed).cast("long")).alias("key")))
+        mask = F.lit(sum(masks[i] for i in choice)).cast("long")
+        out.append(F.struct(F.lit(no).alias("no"), h.bitwiseAND(mask).alias("key")))
     return F.array(*out)
 
 
+def first_shared(a: Column, b: Column, no: Column, blocks: int = 6, agree: int = 3) -> Column:
+    """Whether `no` is the first of the keys that two fingerprints share: of the blocks up to its last, they agree on its own only.
+
+    A pair is thus found under one of its keys, and nothing has to be made distinct after the join.
+    """
+    differ = a.bitwiseXOR(b)
+    same = [differ.bitwiseAND(F.lit(m).cast("long")) == 0 for m in block_masks(blocks)]
+    agreed = reduce(Column.__add__, [F.when(x, 1 << i).otherwise(0) for i, x in enumerate(same)])
+    choices = [sum(1 << i for i in c) for c in combinations(range(blocks), agree)]
+    ups = F.array(*[F.lit((1 << c.bit_length()) - 1) for c in choices])
+    return agreed.bitwiseAND(F.get(ups, no)) == F.get(F.array(*map(F.lit, choices)), no)
+
+
 def simhash_md5(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, simhash: native; each token weighs as often as it occurs, hashed by the first 64 bits of MD5; ties give 0.
 
@@ -71,6 +91,12 @@ def simhash_of(text: str | None) -> int:
     return int.from_bytes(np.packbits(score > 0).tobytes(), "big")
 
 
+@F.pandas_udf(LongType())
+def simhash_blake2b_of(text: pd.Series) -> pd.Series:
+    """The same as a column, where a join by id would move texts; null for a null text."""
+    return pd.Series([None if t is None else int(np.uint64(simhash_of(t)).view(np.int64)) for t in text], dtype="Int64")
+
+
 def simhash_blake2b(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, simhash (two's complement) by Arrow batches."""
 

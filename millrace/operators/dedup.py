@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fingerprint import block_keys, hamming
+from ..functions.fingerprint import block_keys, first_shared, hamming
 from .store import shared_dir
 
+#: Up to so many new fingerprints (20 keys each) are broadcast to an index, which then isn't shuffled.
+BROADCAST_PROBES = 50_000
+
 
 def first_wins(df: DataFrame, keys: list, order: list) -> DataFrame:
     """One row for each key: the first in the given order (a partial group limit runs before the shuffle)."""
@@ -28,8 +31,9 @@ def near_pairs(prints: DataFrame, id_col: str = "id", most_bits: int = 3) -> Dat
     nodes = prints.groupBy("simhash").agg(F.min(id_col).alias("id"))
     keyed = nodes.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))
     left, right = keyed.toDF("a", "ha", "no", "key"), keyed.toDF("b", "hb", "no", "key")
-    near = left.join(right, ["no", "key"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= most_bits))
-    return near.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance")).distinct()
+    first = first_shared(F.col("ha"), F.col("hb"), F.col("no"), 3 + most_bits, 3)
+    near = left.join(right, ["no", "key"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= most_bits) & first)
+    return near.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
 
 
 def near_members(prints: DataFrame, pairs: DataFrame | None = None, id_col: str = "id", most_bits: int = 3, salts: int = 16) -> DataFrame:
@@ -48,29 +52,58 @@ def near_members(prints: DataFrame, pairs: DataFrame | None = None, id_col: str
 
 
 def probe(new: DataFrame, index: DataFrame, id_col: str = "id", most_bits: int = 3) -> DataFrame:
-    """Ids of new fingerprints within most_bits of an indexed one."""
+    """Ids of new fingerprints within most_bits of an indexed one. A small batch goes to where the index is, a large one
+    meets it in a shuffle."""
+    few = new.limit(BROADCAST_PROBES + 1).count() <= BROADCAST_PROBES
     left = new.select(F.col(id_col), F.col("simhash").alias("h"), F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))
     right = index.select(F.col("simhash").alias("o")).distinct().select("o", F.inline(block_keys(F.col("o"), 3 + most_bits, 3)))
-    return left.join(right, ["no", "key"]).filter(hamming(F.col("h"), F.col("o")) <= most_bits).select(id_col).distinct()
+    found = (F.broadcast(left) if few else left).join(right, ["no", "key"])
+    return found.filter(hamming(F.col("h"), F.col("o")) <= most_bits).select(id_col).distinct()
+
+
+def thinned(open_: DataFrame, most_bits: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(kept, open) after a round over open (id, simhash): who is first in all their buckets is kept, who is near one of these goes.
+
+    Linear: a bucket's first (combined before the shuffle) is all that its members are compared with, never each other.
+    """
+    keyed = open_.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))
+    heads = keyed.groupBy("no", "key").agg(F.min_by("simhash", "id").alias("head_hash"), F.min("id").alias("head"))
+    seen = keyed.join(heads, ["no", "key"])
+    near = F.collect_set(F.when((F.col("head") != F.col("id")) & (hamming(F.col("simhash"), F.col("head_hash")) <= most_bits), F.col("head")))
+    looked = seen.groupBy("id", "simhash").agg(F.bool_and(F.col("head") == F.col("id")).alias("first"), near.alias("near")).checkpoint()
+    kept = looked.filter("first").select("id")
+    gone = looked.select("id", F.explode("near").alias("head")).join(kept.select(F.col("id").alias("head")), "head", "left_semi").select("id").distinct()
+    return kept, looked.filter("NOT first").select("id", "simhash").join(gone, "id", "left_anti").checkpoint()
 
 
 def greedy_keep(prints: DataFrame, pairs: DataFrame | None = None, id_col: str = "id", most_bits: int = 3) -> DataFrame:
     """Ids kept if documents arrive by id and one is dropped when a kept one is near: the first maximal independent set.
 
+    Where no pairs are given, linear rounds (thinned) go first, while they decide half of what is open: nodes without
+    company and members of large groups are settled before any pair is made. The others' pairs are sought then.
+
     Rounds: a node all of whose earlier neighbours are dropped is kept, one with a kept earlier neighbour is dropped. Each
     round is written to the checkpoint folder and decides the first open node of each component at least; the number of
-    rounds is the longest chain of waiting, not the number of documents. Pairs are sought here if they aren't given.
+    rounds is the longest chain of waiting, not the number of documents.
     """
     shared_dir(prints.sparkSession)
     firsts = prints.groupBy("simhash").agg(F.min(id_col).alias("id")).checkpoint()
+    settled, n, before = None, firsts.count() if pairs is None else 0, 0
+    while n and (not before or 2 * n <= before):
+        kept, firsts = thinned(firsts, most_bits)
+        settled = kept if settled is None else settled.union(kept)
+        n, before = firsts.count(), n
     nodes = firsts.select("id")
+    if pairs is None and not n:
+        return (nodes if settled is None else settled).select(F.col("id").alias(id_col))
     edges = (near_pairs(firsts, "id", most_bits) if pairs is None else pairs).select("a", "b").checkpoint()
     state = nodes.join(edges.select(F.col("b").alias("id")).distinct().withColumn("waits", F.lit(True)), "id", "left").select("id", F.when(F.col("waits"), None).otherwise(True).alias("kept")).checkpoint()
     while state.filter("kept IS NULL").limit(1).count():
         seen = edges.join(state.toDF("a", "ka"), "a").groupBy("b").agg(F.bool_or("ka").alias("any_kept"), F.count_if(F.col("ka").isNull()).alias("open"))
         verdict = F.when(F.col("any_kept"), False).when(F.col("open") == 0, True)
         state = state.join(seen.toDF("id", "any_kept", "open"), "id", "left").select("id", F.coalesce("kept", verdict).alias("kept")).checkpoint()
-    return state.filter("kept").select(F.col("id").alias(id_col))
+    chosen = state.filter("kept").select("id")
+    return (chosen if settled is None else settled.union(chosen)).select(F.col("id").alias(id_col))
 
 
 def lsh_rows(prints: DataFrame, bands: list[Column], indexed_at: Column) -> DataFrame:

@@ -315,7 +315,7 @@ def STR01_stream_ingest(spark, sf_dir):
     from ..streaming.ingest import Ingest, message_stream
 
     root = store.work_path(spark, "ingest")
-    _messages(spark, sf_dir).write.json(f"{root}/landing")
+    _messages(spark, sf_dir).write.json(f"{root}/landing", compression="gzip")
     job = Ingest(f"{root}/store")
     job.start(message_stream(spark, f"{root}/landing"), f"{root}/checkpoint").awaitTermination()
     return job.table(spark, "outcomes").select("msg_id", "source_type", "outcome")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.fingerprint import simhash_blake2b
+from ..functions.fingerprint import simhash_blake2b_of
 from ..functions.scalars import url_hash
 from ..functions.text import Gate, assess
 from ..operators.dedup import append_if_absent, first_wins, greedy_keep, probe, unexpired
@@ -49,16 +49,17 @@ class Ingest:
         judged = with_language(assess(m, gate=self.gate), "content_md")
         known = self.table(spark, "articles").select("url_hash", "content_hash", F.col("crawled_at").alias("indexed_at")).withColumn("known", F.lit(True))
         judged = judged.join(known.select("url_hash", "known"), "url_hash", "left")
-        prints = simhash_blake2b(judged.filter("keep AND known IS NULL"), "msg_id", "content_md")
-        judged = judged.join(prints, "msg_id", "left").persist()
+        judged = judged.withColumn("simhash", simhash_blake2b_of(F.when(F.col("keep") & F.col("known").isNull(), F.col("content_md")))).persist()
         at, now = f"{self.root}/outcomes/batch={batch_id}", F.current_timestamp()
         try:
             if not exists(spark, f"{at}/_SUCCESS"):
                 self.decide(judged, known, batch_id, now).write.mode("overwrite").parquet(at)
             decided = spark.read.schema(schemas.TABLES["outcomes"]).parquet(at).filter("outcome = 'stored'").select("msg_id")
-            stored = append_if_absent(judged.join(decided, "msg_id", "left_semi"), self.table(spark, "articles"), "url_hash", ["msg_id"])
+            # Keys are sorted out and numbered alone; the texts move once, to their numbers.
+            keys = judged.select("msg_id", "url_hash").join(decided, "msg_id", "left_semi")
+            stored = append_if_absent(keys, self.table(spark, "articles"), "url_hash", ["msg_id"])
             last = self.table(spark, "articles").agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
-            rows = number_after(stored, last, ["msg_id"])
+            rows = judged.join(number_after(stored, last, ["msg_id"]).select("msg_id", "url_hash", "id"), ["msg_id", "url_hash"])
             rows = rows.select("id", "url", "url_hash", "title", "content_md", "author", F.to_timestamp("published_at").alias("published_at"), now.alias("crawled_at"), "tags", "source_type", "language", "quality_score", F.col("simhash").alias("content_hash"))
             letters = bad.select(F.col("msg_id").alias("stream_msg_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("title"), F.lit("parse").alias("reason"), F.left("value", F.lit(500)).alias("detail"), F.col("value").alias("article"))
             dead_letters(letters, self.table(spark, "dead_letters"), now).write.mode("append").parquet(f"{self.root}/dead_letters")
