@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from functools import lru_cache
 
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -22,14 +23,32 @@ _WORDS = re.compile(r"[^\W\d_]+")
 _WHOLE = {k: set(v) for k, v in COMMON.items()}
 
 
+_COMMON_IN: dict[str, tuple[str, ...]] = {w: tuple(k for k, own in _WHOLE.items() if w in own) for w in set().union(*_WHOLE.values())}
+
+
+def _common_in(word: str) -> tuple[str, ...]:
+    return _COMMON_IN.get(word, ())
+
+
+@lru_cache(maxsize=100_000)
+def _signs_of(word: str) -> tuple[str, ...]:
+    return tuple(k for k, signs in SIGNS.items() if any(s in word for s in signs))
+
+
 def detect(text: str | None) -> str:
     words = Counter(_WORDS.findall((text or "").lower()))
     n = sum(words.values())
     if not n:
         return "unknown"
-    score = {k: sum(c for w, c in words.items() if w in own) / n for k, own in _WHOLE.items()}
-    for k, signs in SIGNS.items():
-        score[k] += 2.0 * sum(c for w, c in words.items() if any(s in w for s in signs)) / n
+    common, signed = dict.fromkeys(_WHOLE, 0), dict.fromkeys(SIGNS, 0)
+    for w, c in words.items():
+        for k in _common_in(w):
+            common[k] += c
+        for k in () if w.isascii() else _signs_of(w):
+            signed[k] += c
+    score = {k: v / n for k, v in common.items()}
+    for k, v in signed.items():
+        score[k] += 2.0 * v / n
     best = max(sorted(score), key=score.get)
     return best if score[best] > 0.02 else "unknown"
 
