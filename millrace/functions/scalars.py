@@ -112,3 +112,29 @@ def cosine(a: Column, b: Column) -> Column:
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda acc, v: acc + v)
     x, y = to(a), to(b)
     return F.try_divide(dot(x, y), F.sqrt(dot(x, x)) * F.sqrt(dot(y, y)))
+
+
+def general(x: Column, digits: int = 6) -> Column:
+    """A number with so many significant digits, no zeros at the end, an exponent below 1e-4 and from 10^digits on."""
+    e = F.format_string(f"%.{digits - 1}e", x.cast("double"))
+    power = F.substring_index(e, "e", -1).try_cast("int")
+    bare = lambda s: F.regexp_replace(s, r"\.?0+$", "")
+    plain = F.when(F.substring_index(e, "e", 1).contains("."), bare(F.substring_index(e, "e", 1))).otherwise(F.substring_index(e, "e", 1))
+    fixed = F.lit(None).cast("string")
+    for k in range(-4, digits):
+        places = digits - 1 - k
+        at = F.format_string(f"%.{places}f", e.try_cast("double"))
+        fixed = F.when(power == k, bare(at) if places else at).otherwise(fixed)
+    word = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, "0")
+    return word.when((power < -4) | (power >= digits), F.concat(plain, F.lit("e"), F.substring_index(e, "e", -1))).otherwise(fixed)
+
+
+def vector_literal(v: Column, digits: int = 6) -> Column:
+    """[a,b,...] for a loader of text; arrays need none within Spark."""
+    return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: general(x, digits)), ","), F.lit("]"))
+
+
+def text_array_literal(v: Column) -> Column:
+    """{"a","b"} with quotes escaped; {} where empty."""
+    quoted = F.transform(v, lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('\\"')), F.lit('"')))
+    return F.concat(F.lit("{"), F.array_join(quoted, ","), F.lit("}"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.markdown import posexploded, with_chunks
 from ..functions.scalars import chunk_id, iso
 from .dashboard import as_json
-from .store import exists, last_wins, remove, save_watermark, upsert, watermark
+from .store import exists, last_wins, remove, replace, save_watermark, shared_dir, upsert, watermark
 
 ARCHIVE = "chunk_id STRING, embedding ARRAY<FLOAT>, model STRING, dim INT"
 CHUNK_LINE = (
@@ -89,6 +89,25 @@ def embed_new(chunk_table: DataFrame, at: str, model: str, embedder: Callable[[l
     return n, failed
 
 
+CACHE = "digest STRING, embedding ARRAY<FLOAT>, model STRING, used_at TIMESTAMP"
+
+
+def query_vectors(texts: DataFrame, at: str, model: str, embedder: Callable[[list[str]], np.ndarray] = hashed_words, most: int = 128) -> DataFrame:
+    """text, embedding of each distinct text: taken from the cache at `at` where the model has embedded it before, else embedded
+    once. The cache then holds what was used last, `most` at most; more texts than that are answered all the same."""
+    spark = texts.sparkSession
+    have = (spark.read.schema(CACHE).parquet(at) if exists(spark, at) else spark.createDataFrame([], CACHE)).filter(F.col("model") == model)
+    asked = texts.select("text").filter("text IS NOT NULL").distinct().withColumn("digest", F.sha2("text", 256))
+    new = embed(asked.join(have.select("digest"), "digest", "left_anti").select(F.col("digest").alias("chunk_id"), "text"), embedder)
+    hits = have.select("digest", "embedding").join(asked.select("digest"), "digest", "left_semi")
+    shared_dir(spark)
+    found = hits.unionByName(new.filter("embedding IS NOT NULL").withColumnRenamed("chunk_id", "digest")).checkpoint()
+    used = found.select("digest", "embedding", F.lit(model).alias("model"), F.current_timestamp().alias("used_at"))
+    others = have.join(asked.select("digest"), "digest", "left_anti")
+    replace(used.unionByName(others).orderBy(F.desc("used_at"), "digest").limit(most), at)
+    return asked.join(found, "digest").select("text", "embedding")
+
+
 def export_chunks(articles: DataFrame, out: str, state: str, full: bool = False, **cut) -> int:
     """Writes chunks as JSON lines: of all articles over what was there, or of those above the watermark in addition. The
     watermark is kept either way. The last article's id."""

@@ -106,6 +106,15 @@ def replace(df: DataFrame, path: str) -> None:
     remove(spark, old)
 
 
+def clustered(df: DataFrame, path: str, by: list[str], lookup: list[str] = (), values: int = 1_000_000) -> None:
+    """Writes df ranged and sorted by columns, so that a range of them is in few files and row groups, with Bloom filters
+    (each for so many values a row group) of columns that single values are looked up in. In place of secondary indexes."""
+    w = df.repartitionByRange(*by).sortWithinPartitions(*by).write
+    for c in lookup:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.expected.ndv#{c}", str(values))
+    w.parquet(path)
+
+
 def watermark(spark: SparkSession, path: str) -> int:
     """The last id kept at path; 0 where there is none or it can't be read."""
     try:

@@ -8,7 +8,7 @@ from ..functions import fingerprint as fp
 from ..functions import scalars as sc
 from ..functions.markdown import unescape
 from ..operators import dashboard as db
-from ..operators import dedup, monitor, qa, rag, store
+from ..operators import dedup, monitor, pacing, qa, rag, store
 from ..sources import adapters
 from .catalogue import ARTICLES_SQL, EVENTS_AS_OF, EXT_SQL, HOURS_SQL, OUTCOMES_SQL, RUNS_SQL, SAMPLES_SQL, SIMHASH_SQL, VECTORS_SQL, chunk_articles, chunk_sql, _naive, articles, articles_ext, outcomes, prints, query, runs, snapshots, source_deltas, table, vectors
 
@@ -245,6 +245,40 @@ def TOP11_request_order(spark, sf_dir):
     return rag.in_request_order(e).select("request", F.array_join("vectors", ",").alias("ids"))
 
 
+@query(f"""WITH {VECTORS_SQL} SELECT chunk_id, '[' || array_to_string([format('{{:.6g}}', x * CASE vec_id % 3 WHEN 0 THEN 1.0 WHEN 1 THEN 1e7 ELSE 1e-4 END) for x in e], ',') || ']' AS vector,
+  CASE WHEN vec_id % 4 = 0 THEN '{{}}' ELSE '{{"c' || vec_id || '","a\\"b"}}' END AS labels FROM vectors""")
+def FN35_literals(spark, sf_dir):
+    """FN35: vectors at six significant digits and arrays of text, as a loader takes them."""
+    k = F.col("vec_id")
+    scale = F.when(k % 3 == 0, 1.0).when(k % 3 == 1, 1e7).otherwise(1e-4)
+    names = F.when(k % 4 == 0, F.array().cast("array<string>")).otherwise(F.array("chunk_id", F.lit('a"b')))
+    return vectors(spark, sf_dir).select("chunk_id", sc.vector_literal(F.transform("embedding", lambda x: x.cast("double") * scale)).alias("vector"), sc.text_array_literal(names).alias("labels"))
+
+
+CALLS_SQL = """calls AS (SELECT event_id, concat('h', user_id % 3) AS host, epoch_us(ts) // 1000 AS t, CASE user_id % 3 WHEN 0 THEN 2000000 WHEN 1 THEN 60000 ELSE 600000 END AS gap,
+  CASE user_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 6 ELSE 2 END AS burst, CASE WHEN event_id % 37 = 0 THEN 900000 ELSE 0 END AS pause FROM events),
+summed AS (SELECT *, gap + pause AS w, sum(gap + pause) OVER q AS total FROM calls WINDOW q AS (PARTITION BY host ORDER BY t, event_id)),
+led AS (SELECT *, max(t + CASE WHEN pause > 0 THEN pause + gap * burst ELSE gap END - total) OVER (PARTITION BY host ORDER BY t, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ahead FROM summed)"""
+
+
+@query(f"WITH {CALLS_SQL} SELECT event_id, host, greatest(t, coalesce(ahead + total - w - (burst - 1) * gap, t))::BIGINT AS starts FROM led")
+def STR13_call_times(spark, sf_dir):
+    """STR13, STR14: when each event's call may start, with a rate and a burst for each host and pauses that hosts asked for."""
+    k = F.col("user_id") % 3
+    calls = table(spark, sf_dir, "events").select("event_id", "user_id", F.concat(F.lit("h"), k.cast("string")).alias("host"), F.expr("unix_millis(CAST(ts AS TIMESTAMP))").alias("at"))
+    gap, burst = F.when(k == 0, 2_000_000).when(k == 1, 60_000).otherwise(600_000), F.when(k == 0, 1).when(k == 1, 6).otherwise(2)
+    return pacing.call_times(calls, "host", "at", "event_id", gap, burst, F.when(F.col("event_id") % 37 == 0, 900_000)).select("event_id", "host", "starts")
+
+
+@query("""SELECT user_id, event_id, count(*) OVER w * 32 AS done, round(count(*) OVER w * 32 / greatest(epoch(ts - TIMESTAMP '2024-01-01 00:00:00') / 60, 1e-9), 4) AS per_minute FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+def FN43_progress(spark, sf_dir):
+    """FN43: a user's events as a run's batches of 32."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), F.lit(32).alias("n"))
+    p = pacing.progress(e, "user_id", "ts", "event_id", "n", F.expr("TIMESTAMP '2024-01-01 00:00:00'"))
+    return p.select("user_id", "event_id", "done", F.round("per_minute", 4).alias("per_minute"))
+
+
 # Counters ------------------------------------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 ARTICLES = (
     "id BIGINT, url STRING, url_hash STRING, title STRING, content_md STRING, author STRING, published_at TIMESTAMP, "
@@ -38,3 +39,10 @@ def evolve(df: DataFrame, name: str) -> DataFrame:
     """df with the table's columns: missing ones null, in the table's order and types."""
     want = empty(df.sparkSession, name)
     return want.unionByName(df.select(*[c for c in df.columns if c in want.columns]), allowMissingColumns=True)
+
+
+def analyze(spark: SparkSession, database: str = "default") -> None:
+    """Statistics of the tables and of their plain columns, for the optimizer; after a load."""
+    for name in TABLES:
+        plain = [f.name for f in empty(spark, name).schema if not isinstance(f.dataType, (ArrayType, MapType, StructType))]
+        spark.sql(f"ANALYZE TABLE {database}.{name} COMPUTE STATISTICS FOR COLUMNS {', '.join(plain)}")
