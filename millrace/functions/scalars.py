@@ -6,6 +6,7 @@ import random
 from datetime import UTC, datetime
 from email.utils import parsedate_to_datetime
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,23 +116,34 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def general(x: Column, digits: int = 6) -> Column:
-    """A number with so many significant digits, no zeros at the end, an exponent below 1e-4 and from 10^digits on."""
-    e = F.format_string(f"%.{digits - 1}e", x.cast("double"))
-    power = F.substring_index(e, "e", -1).try_cast("int")
-    bare = lambda s: F.regexp_replace(s, r"\.?0+$", "")
-    plain = F.when(F.substring_index(e, "e", 1).contains("."), bare(F.substring_index(e, "e", 1))).otherwise(F.substring_index(e, "e", 1))
-    fixed = F.lit(None).cast("string")
-    for k in range(-4, digits):
-        places = digits - 1 - k
-        at = F.format_string(f"%.{places}f", e.try_cast("double"))
-        fixed = F.when(power == k, bare(at) if places else at).otherwise(fixed)
-    word = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, "0")
-    return word.when((power < -4) | (power >= digits), F.concat(plain, F.lit("e"), F.substring_index(e, "e", -1))).otherwise(fixed)
+    """A number with so many significant digits, no zeros at the end, an exponent below 1e-4 and from 10^digits on.
+
+    What is rounded is the double's exact value, a tie to the even digit; the JVM's formatter rounds its shortest decimal form up.
+    """
+
+    @F.arrow_udf("string")
+    def written(xs: pa.Array) -> pa.Array:
+        return pa.array([None if v is None else f"{v:.{digits}g}" for v in xs.to_pylist()], pa.string())
+
+    return written(x.cast("double"))
 
 
 def vector_literal(v: Column, digits: int = 6) -> Column:
-    """[a,b,...] for a loader of text; arrays need none within Spark."""
-    return F.concat(F.lit("["), F.array_join(F.transform(v, lambda x: general(x, digits)), ","), F.lit("]"))
+    """[a,b,...] for a loader of text, each number as by general(), nulls left out; arrays need none within Spark."""
+
+    @F.arrow_udf("string")
+    def written(vs: pa.Array) -> pa.Array:
+        flat = vs.flatten()
+        if flat.null_count:
+            held = [None if x is None else [y for y in x if y is not None] for x in vs.to_pylist()]
+            return pa.array([None if x is None else "[" + ",".join(f"{y:.{digits}g}" for y in x) + "]" for x in held], pa.string())
+        numbers, out, at = flat.to_numpy().tolist(), [], 0
+        for n in vs.value_lengths().to_pylist():
+            out.append(None if n is None else "[" + ",".join([f"%.{digits}g"] * n) % tuple(numbers[at : at + n]) + "]")
+            at += n or 0
+        return pa.array(out, pa.string())
+
+    return written(v.cast("array<double>"))
 
 
 def text_array_literal(v: Column) -> Column:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.functions.scalars import general, text_array_literal
+from millrace.functions.scalars import general, text_array_literal, vector_literal
 from millrace.operators import pacing, rag, store
 
 
@@ -52,6 +52,17 @@ def test_general_digits(spark):
     assert spark.range(1).select(text_array_literal(F.array(F.lit('q"x'), F.lit("b")))).first()[0] == '{"q\\"x","b"}'
 
 
+def test_digits_of_exact_ties(spark, duck):
+    """Ties of the double itself go to the even digit, as in SQL; what is no tie in binary isn't one."""
+    xs = [0.0009765625, 0.0029296875, 100000.5, 100001.5, 1234565.0, 1.2345645, 1.2345655, -0.0, float("nan"), -float("inf")]
+    df = spark.createDataFrame([(0, xs), (1, []), (2, None), (3, [None, 0.5])], "i int, v array<double>")
+    got = {r.i: r.s for r in df.select("i", vector_literal(F.col("v")).alias("s")).collect()}
+    want = duck.sql(f"SELECT array_to_string([format('{{:.6g}}', x) for x in [{', '.join(f"'{x!r}'::DOUBLE" for x in xs)}]], ',')").fetchall()[0][0]
+    assert got == {0: f"[{want}]", 1: "[]", 2: None, 3: "[0.5]"}
+    one = spark.createDataFrame([(x,) for x in xs], "x double").select(general(F.col("x")).alias("s"))
+    assert sorted(r.s for r in one.collect()) == sorted(want.split(","))
+
+
 def test_query_vectors_are_embedded_once(spark, tmp_path):
     seen = f"{tmp_path}/seen"
 
