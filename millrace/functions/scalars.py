@@ -101,10 +101,18 @@ def floor_minutes(ts: Column, minutes: int = 5) -> Column:
     return F.window(ts, f"{minutes} minutes")["start"]
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A double rounded as SQL's round does: x * 10^digits in double, its ties away from zero. F.round takes the decimal form instead."""
+    y = x * F.lit(10.0**digits)
+    whole = F.rint(y)
+    up, down = (y - whole == 0.5) & (y > 0), (y - whole == -0.5) & (y < 0)
+    return F.when(up, whole + 1).when(down, whole - 1).otherwise(whole) / F.lit(10.0**digits)
+
+
 def age_status(finished: Column, as_of: Column, limit: Column) -> tuple[Column, Column]:
     """Age in minutes (one decimal) and ok, stale or unknown."""
     age = (as_of.cast("double") - finished.cast("double")) / 60
-    return F.round(age, 1), F.when(age.isNull(), "unknown").when(age <= limit, "ok").otherwise("stale")
+    return rounded(age, 1), F.when(age.isNull(), "unknown").when(age <= limit, "ok").otherwise("stale")
 
 
 def cosine(a: Column, b: Column) -> Column:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .scalars import rounded
+
 # The patterns that verdicts depend on, as they stand in the data's contract.
 FENCE = "(?s)```[^\\n]*\\n(.*?)```"
 INLINE = r"`[^`\n]+`"
@@ -126,4 +128,4 @@ def assess(df, text_col: str = "content_md", gate: Gate = Gate()):
     text = F.col(text_col)
     out = df.withColumns(features(text))
     out = out.withColumn("reason", reason(text, gate))
-    return out.withColumn("keep", F.col("reason").isin("code_rich", "ok")).withColumn("quality_score", F.when(F.col("reason") != "empty", F.round(quality_score(), 3)))
+    return out.withColumn("keep", F.col("reason").isin("code_rich", "ok")).withColumn("quality_score", F.when(F.col("reason") != "empty", rounded(quality_score(), 3)))

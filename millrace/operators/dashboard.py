@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import rounded
+
 
 def _within(name: str, value, low, high):
     if not low <= value <= high:
@@ -87,7 +89,7 @@ def top_k(vectors: DataFrame, query: list[float], k: int = 8, where: Column | No
     _within("k", k, 1, 32)
     out = vectors if where is None else vectors.filter(where)
     scored = out.withColumn("raw", cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in query])))
-    return scored.withColumn("score", F.round("raw", 4)).orderBy(F.desc("score"), id_col).limit(k).drop("raw", "embedding")
+    return scored.withColumn("score", rounded(F.col("raw"), 4)).orderBy(F.desc("score"), id_col).limit(k).drop("raw", "embedding")
 
 
 def top_k_many(vectors: DataFrame, queries: DataFrame, k: int = 8, id_col: str = "chunk_id", query_col: str = "query_id", part: int = 4096) -> DataFrame:

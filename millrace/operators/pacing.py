@@ -38,6 +38,7 @@ def call_times(calls: DataFrame, key: str, at: str, order: str, gap: Column, bur
 def progress(batches: DataFrame, run: str, at: str, order: str, n: str, started: Column) -> DataFrame:
     """run, at, done, per_minute: rows done after each batch of a run, and a minute since the start. A run's batches are few."""
     w = Window.partitionBy(run).orderBy(at, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    minutes = F.greatest((F.col(at).cast("double") - started.cast("double")) / 60, F.lit(1e-9))
+    micros = F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(started.cast("timestamp"))  # seconds since 1970 in double would lose digits
+    minutes = F.greatest(micros / F.lit(1e6) / 60, F.lit(1e-9))
     out = batches.withColumn("done", F.sum(n).over(w).cast("long"))
     return out.select(run, order, at, "done", (F.col("done") / minutes).alias("per_minute"))

@@ -225,7 +225,7 @@ def FN33_unescape(spark, sf_dir):
 def FN36_cosine(spark, sf_dir):
     v = vectors(spark, sf_dir).select("vec_id", "embedding")
     after = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
-    return v.join(after, "vec_id").select("vec_id", F.round(sc.cosine(F.col("embedding"), F.col("other")), 4).alias("score"))
+    return v.join(after, "vec_id").select("vec_id", sc.rounded(sc.cosine(F.col("embedding"), F.col("other")), 4).alias("score"))
 
 
 @query(f"WITH {ARTICLES_SQL} SELECT id, ((row_number() OVER (PARTITION BY source_type ORDER BY id) - 1) // 32)::BIGINT AS batch FROM articles")
@@ -276,7 +276,7 @@ def FN43_progress(spark, sf_dir):
     """FN43: a user's events as a run's batches of 32."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts"), F.lit(32).alias("n"))
     p = pacing.progress(e, "user_id", "ts", "event_id", "n", F.expr("TIMESTAMP '2024-01-01 00:00:00'"))
-    return p.select("user_id", "event_id", "done", F.round("per_minute", 4).alias("per_minute"))
+    return p.select("user_id", "event_id", "done", sc.rounded(F.col("per_minute"), 4).alias("per_minute"))
 
 
 # Counters ------------------------------------------------------------------------------------------------------------

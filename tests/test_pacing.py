@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.functions.scalars import general, text_array_literal, vector_literal
+from millrace.functions.scalars import general, rounded, text_array_literal, vector_literal
 from millrace.operators import pacing, rag, store
 
 
@@ -63,6 +63,22 @@ def test_digits_of_exact_ties(spark, duck):
     assert sorted(r.s for r in one.collect()) == sorted(want.split(","))
 
 
+def test_progress_to_the_last_digit(spark, duck, same):
+    """Rates that lie at a rounding step: times to the microsecond, double arithmetic and ties as in SQL."""
+    from datetime import datetime, timedelta
+
+    duck.sql("CREATE OR REPLACE TEMP TABLE late AS SELECT i % 40 AS run, i AS no, TIMESTAMP '2024-01-01 00:00:00' + to_microseconds((i * 7919 * 7919 % 1000003) * 2500003) AS ts FROM range(40000) t(i)")
+    want = duck.sql("SELECT run, no, count(*) OVER w * 32 AS done, round(count(*) OVER w * 32 / greatest(epoch(ts - TIMESTAMP '2024-01-01 00:00:00') / 60, 1e-9), 4) AS per_minute FROM late WINDOW w AS (PARTITION BY run ORDER BY ts, no ROWS UNBOUNDED PRECEDING)")
+    start = datetime(2024, 1, 1)
+    rows = [(i % 40, i, start + timedelta(microseconds=(i * 7919 * 7919 % 1000003) * 2500003)) for i in range(40000)]
+    df = spark.createDataFrame(rows, "run long, no long, ts timestamp_ntz").withColumns({"ts": F.col("ts").cast("timestamp"), "n": F.lit(32)})
+    p = pacing.progress(df, "run", "ts", "no", "n", F.expr("TIMESTAMP '2024-01-01 00:00:00'"))
+    same(p.select("run", "no", "done", rounded(F.col("per_minute"), 4).alias("per_minute")), want)
+    xs = [2062.22015, 2921.47855, -0.00005, 0.00015, 1.00005, -1.00005, 3e15, 1e300, 0.0]
+    duck.sql("CREATE OR REPLACE TEMP TABLE steps AS SELECT unnest([" + ", ".join(f"{x!r}::DOUBLE" for x in xs) + "]) AS x")
+    same(spark.createDataFrame([(x,) for x in xs], "x double").select("x", rounded(F.col("x"), 4).alias("r")), duck.sql("SELECT x, round(x, 4) AS r FROM steps"))
+
+
 def test_query_vectors_are_embedded_once(spark, tmp_path):
     seen = f"{tmp_path}/seen"
 
