@@ -23,13 +23,13 @@ def append_if_absent(new: DataFrame, store: DataFrame, key: str, order: list) ->
     return first_wins(new, [key], order).join(store.select(key).distinct(), key, "left_anti")
 
 
-def near_pairs(prints: DataFrame, id_col: str = "id", most_bits: int = 3) -> DataFrame:
+def near_pairs(prints: DataFrame, id_col: str = "id", most_bits: int = 3, parts: int | None = None) -> DataFrame:
     """a < b, distance: firsts of fingerprints within most_bits of each other; copies of a fingerprint are one node.
 
     Three flipped bits leave three of six blocks whole, so each pair shares a block key; the keys' buckets are thin.
     """
     nodes = prints.groupBy("simhash").agg(F.min(id_col).alias("id"))
-    keyed = nodes.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))
+    keyed = nodes.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3))) if parts is None else _keyed(nodes, most_bits, parts)
     left, right = keyed.toDF("a", "ha", "no", "key"), keyed.toDF("b", "hb", "no", "key")
     first = first_shared(F.col("ha"), F.col("hb"), F.col("no"), 3 + most_bits, 3)
     near = left.join(right, ["no", "key"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= most_bits) & first)
@@ -61,49 +61,70 @@ def probe(new: DataFrame, index: DataFrame, id_col: str = "id", most_bits: int =
     return found.filter(hamming(F.col("h"), F.col("o")) <= most_bits).select(id_col).distinct()
 
 
-def thinned(open_: DataFrame, most_bits: int = 3) -> tuple[DataFrame, DataFrame]:
-    """(kept, open) after a round over open (id, simhash): who is first in all their buckets is kept, who is near one of these goes.
+def prefixes(firsts: DataFrame, first: int = 1000, times: int = 4, sample: int = 20_000) -> list[DataFrame]:
+    """firsts in the order of id, cut into parts: each with all before it has some `times` as many rows as these. The cuts come from a sample of ids."""
+    n = firsts.count()
+    if n <= first * times:
+        return [firsts]
+    ids = [r["id"] for r in firsts.filter("id IS NOT NULL").sample(min(1.0, sample / n), 1).orderBy("id").select("id").collect()]
+    ranks = [first]
+    while ranks[-1] * times < n:
+        ranks.append(ranks[-1] * times)
+    cuts = sorted({ids[len(ids) * r // n] for r in ranks}) if ids else []
+    out, at = [], F.lit(True)
+    for cut in cuts:
+        out.append(firsts.filter(at & (F.col("id") < F.lit(cut))))
+        at = F.col("id") >= F.lit(cut)
+    return [*out, firsts.filter(at | F.col("id").isNull())]
 
-    Linear: a bucket's first (combined before the shuffle) is all that its members are compared with, never each other.
+
+def _tasks(n: int) -> int:
+    """Tasks for comparing so many fingerprints (20 keys each)."""
+    return max(1, -(-n // 5_000))
+
+
+def _keyed(prints: DataFrame, most_bits: int, parts: int) -> DataFrame:
+    """id, simhash, no, key over so many tasks: the rows are small, what they are compared with isn't."""
+    return prints.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3))).repartition(parts, "no", "key")
+
+
+def undropped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """nodes without those that a kept earlier one (a of a, b) is near.
+
+    Rounds: an a without an earlier neighbour left is kept, so its bs go, with all their edges. Each round is written to the
+    checkpoint folder and only edges between undecided nodes go on; the number of rounds is the longest chain of waiting.
     """
-    keyed = open_.select("id", "simhash", F.inline(block_keys(F.col("simhash"), 3 + most_bits, 3)))
-    heads = keyed.groupBy("no", "key").agg(F.min_by("simhash", "id").alias("head_hash"), F.min("id").alias("head"))
-    seen = keyed.join(heads, ["no", "key"])
-    near = F.collect_set(F.when((F.col("head") != F.col("id")) & (hamming(F.col("simhash"), F.col("head_hash")) <= most_bits), F.col("head")))
-    looked = seen.groupBy("id", "simhash").agg(F.bool_and(F.col("head") == F.col("id")).alias("first"), near.alias("near")).checkpoint()
-    kept = looked.filter("first").select("id")
-    gone = looked.select("id", F.explode("near").alias("head")).join(kept.select(F.col("id").alias("head")), "head", "left_semi").select("id").distinct()
-    return kept, looked.filter("NOT first").select("id", "simhash").join(gone, "id", "left_anti").checkpoint()
+    edges, gone = edges.select("a", "b").checkpoint(), None
+    while edges.limit(1).count():
+        heads = edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
+        now = heads.select("b").distinct().checkpoint()
+        gone = now if gone is None else gone.union(now)
+        edges = edges.join(now, "b", "left_anti").join(now.toDF("a"), "a", "left_anti").checkpoint()
+    return nodes if gone is None else nodes.join(gone.toDF("id"), "id", "left_anti")
 
 
 def greedy_keep(prints: DataFrame, pairs: DataFrame | None = None, id_col: str = "id", most_bits: int = 3) -> DataFrame:
     """Ids kept if documents arrive by id and one is dropped when a kept one is near: the first maximal independent set.
 
-    Where no pairs are given, linear rounds (thinned) go first, while they decide half of what is open: nodes without
-    company and members of large groups are settled before any pair is made. The others' pairs are sought then.
-
-    Rounds: a node all of whose earlier neighbours are dropped is kept, one with a kept earlier neighbour is dropped. Each
-    round is written to the checkpoint folder and decides the first open node of each component at least; the number of
-    rounds is the longest chain of waiting, not the number of documents.
+    Where no pairs are given, documents come in parts (prefixes). A part is compared with what earlier parts have kept, once,
+    and pairs are made of what is left of it alone. As each part is a few times what came before, little is near
+    each other in what is left: there are about as many pairs as documents, however many there are in all.
     """
     shared_dir(prints.sparkSession)
     firsts = prints.groupBy("simhash").agg(F.min(id_col).alias("id")).checkpoint()
-    settled, n, before = None, firsts.count() if pairs is None else 0, 0
-    while n and (not before or 2 * n <= before):
-        kept, firsts = thinned(firsts, most_bits)
-        settled = kept if settled is None else settled.union(kept)
-        n, before = firsts.count(), n
-    nodes = firsts.select("id")
-    if pairs is None and not n:
-        return (nodes if settled is None else settled).select(F.col("id").alias(id_col))
-    edges = (near_pairs(firsts, "id", most_bits) if pairs is None else pairs).select("a", "b").checkpoint()
-    state = nodes.join(edges.select(F.col("b").alias("id")).distinct().withColumn("waits", F.lit(True)), "id", "left").select("id", F.when(F.col("waits"), None).otherwise(True).alias("kept")).checkpoint()
-    while state.filter("kept IS NULL").limit(1).count():
-        seen = edges.join(state.toDF("a", "ka"), "a").groupBy("b").agg(F.bool_or("ka").alias("any_kept"), F.count_if(F.col("ka").isNull()).alias("open"))
-        verdict = F.when(F.col("any_kept"), False).when(F.col("open") == 0, True)
-        state = state.join(seen.toDF("id", "any_kept", "open"), "id", "left").select("id", F.coalesce("kept", verdict).alias("kept")).checkpoint()
-    chosen = state.filter("kept").select("id")
-    return (chosen if settled is None else settled.union(chosen)).select(F.col("id").alias(id_col))
+    if pairs is not None:
+        return undropped(firsts.select("id"), pairs).select(F.col("id").alias(id_col))
+    kept, n_kept = None, 0
+    for part in prefixes(firsts):
+        if kept is not None:
+            tasks = _tasks(part.count() + n_kept)
+            had = _keyed(kept, most_bits, tasks).select(F.col("simhash").alias("o"), "no", "key")
+            own = _keyed(part, most_bits, tasks).alias("n")
+            near = own.join(had.alias("k"), F.expr("n.no = k.no AND n.key = k.key") & (hamming(F.col("simhash"), F.col("o")) <= most_bits), "left_semi")
+            part = part.join(near.select("id").distinct(), "id", "left_anti").checkpoint()
+        done = undropped(part, near_pairs(part, "id", most_bits, _tasks(part.count()))).select("id", "simhash").checkpoint()
+        kept, n_kept = (done, done.count()) if kept is None else (kept.union(done), n_kept + done.count())
+    return kept.select(F.col("id").alias(id_col))
 
 
 def lsh_rows(prints: DataFrame, bands: list[Column], indexed_at: Column) -> DataFrame:

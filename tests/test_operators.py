@@ -168,3 +168,23 @@ def test_tables_are_created_once(spark):
     assert spark.table("t.chunks").count() == 0
     assert schemas.evolve(spark.range(1).select(F.lit("u").alias("url"), F.lit(1).alias("other")), "articles").columns == schemas.empty(spark, "articles").columns
     spark.sql("DROP DATABASE t CASCADE")
+
+
+def test_greedy_makes_few_pairs_where_much_is_near(spark, monkeypatch):
+    """Dense fingerprints: each document against those kept before it; pairs only of what is left of a part."""
+    r = random.Random(5)
+    hashes = [r.getrandbits(13) << 40 for _ in range(6000)]
+    df = spark.createDataFrame([(i, None if i == 5999 else h) for i, h in enumerate(hashes)], "id long, simhash long")
+    kept = []
+    for i, h in enumerate(hashes[:-1]):
+        if not any((h ^ hashes[k]).bit_count() <= 3 for k in kept):
+            kept.append(i)
+    made, pairs = [], dedup.near_pairs
+
+    def counted(*a):
+        made.append(pairs(*a).count())
+        return pairs(*a)
+
+    monkeypatch.setattr(dedup, "near_pairs", counted)
+    assert sorted(x.id for x in dedup.greedy_keep(df).collect()) == [*kept, 5999]  # nothing is near what has no fingerprint
+    assert len(made) > 1 and sum(made) < 60_000 < pairs(df).count() / 3
