@@ -128,4 +128,5 @@ def assess(df, text_col: str = "content_md", gate: Gate = Gate()):
     text = F.col(text_col)
     out = df.withColumns(features(text))
     out = out.withColumn("reason", reason(text, gate))
-    return out.withColumn("keep", F.col("reason").isin("code_rich", "ok")).withColumn("quality_score", F.when(F.col("reason") != "empty", rounded(quality_score(), 3)))
+    out = out.withColumn("keep", F.col("reason").isin("code_rich", "ok")).withColumn("quality_score", F.when(text != "", quality_score()))
+    return out.withColumn("quality_score", rounded(F.col("quality_score"), 3))

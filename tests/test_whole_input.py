@@ -184,3 +184,12 @@ def test_backfill_of_articles_without_text(spark, data, same, tmp_path):
     c = duckdb.connect()
     c.sql(f"CREATE VIEW documents AS FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
     same(Q["SNK05_backfill"](spark, str(tmp_path)), c.sql(catalogue.oracle_sql()["SNK05_backfill"]))
+
+
+def test_scores_look_once_at_each_text(spark, data):
+    """Each pattern runs over a text as often as the score needs it; those of the gate's other rules aren't tried."""
+    q = Q["FN12_quality_score"](spark, data)
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(tx.FENCE) == 1 and plan.count("(?U)" + tx.LINK) == 1 and tx.SPAM not in plan and tx.HELP_ASKED not in plan
+    odd = spark.createDataFrame([(1, ""), (2, None), (3, "one word")], "id long, content_md string")
+    assert {r.id: (r.reason, r.quality_score is None) for r in tx.assess(odd).collect()} == {1: ("empty", True), 2: ("empty", True), 3: ("too_short", False)}
