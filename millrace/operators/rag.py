@@ -25,8 +25,9 @@ CHUNK_LINE = (
 
 def chunks(articles: DataFrame, after_id: int = 0, target: int = 1200, overlap: int = 150, min_chars: int = 30) -> DataFrame:
     """Chunks of articles with a text and an id above after_id."""
-    some = articles.filter((F.col("id") > after_id) & F.col("content_md").isNotNull())
-    cut = posexploded(with_chunks(some, "content_md", target, overlap, min_chars), [F.col("id").alias("article_id"), "url", "title", "tags", "source_type", "language", "published_at", "quality_score"])
+    kept = ["url", "title", "tags", "source_type", "language", "published_at", "quality_score"]
+    some = articles.filter((F.col("id") > after_id) & F.col("content_md").isNotNull()).select(F.col("id").alias("article_id"), *kept, "content_md")
+    cut = posexploded(with_chunks(some, "content_md", target, overlap, min_chars), ["article_id", *kept])
     return cut.select(chunk_id(F.col("url"), F.col("chunk_index")).alias("chunk_id"), "article_id", "url", "title", "heading_path", "chunk_index", "n_chunks", "text", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "source_type", "language", "published_at", "quality_score")
 
 

@@ -193,3 +193,19 @@ def test_scores_look_once_at_each_text(spark, data):
     assert plan.count(tx.FENCE) == 1 and plan.count("(?U)" + tx.LINK) == 1 and tx.SPAM not in plan and tx.HELP_ASKED not in plan
     odd = spark.createDataFrame([(1, ""), (2, None), (3, "one word")], "id long, content_md string")
     assert {r.id: (r.reason, r.quality_score is None) for r in tx.assess(odd).collect()} == {1: ("empty", True), 2: ("empty", True), 3: ("too_short", False)}
+
+
+def test_chunks_are_handed_on_slice_by_slice(spark):
+    """A worker never holds the pieces of more texts than a slice has; a long text is a slice of its own, a null one has no pieces."""
+    import pyarrow as pa
+
+    from millrace.functions import markdown as md
+
+    texts = ["# A\n\n" + "word " * 20, None, "", "# B\n\n" + "x " * 400_000, "## C\n\nlast of all"] * 50
+    assert max(z - a for a, z in md.slices(pa.array(["x" * 1000] * 5000), 1_000_000)) == 1000
+    assert [t for a, z in md.slices(pa.array(texts), 1_000_000) for t in texts[a:z]] == texts
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, content_md string").coalesce(1)
+    held = md.with_chunks(df, "content_md", min_chars=1)
+    assert held.columns == ["id", "pieces"]  # the text isn't sent back beside its pieces
+    got = {r.id: [(p.text, tuple(p.heading_path)) for p in r.pieces] for r in held.collect()}
+    assert got == {i: md.chunk_markdown(t, min_chars=1) for i, t in enumerate(texts)}
