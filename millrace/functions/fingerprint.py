@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import combinations
 
 import numpy as np
@@ -77,6 +77,11 @@ def simhash_md5(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return total.select(id_col, reduce(Column.bitwiseOR, bit).alias("simhash"))
 
 
+@lru_cache(maxsize=100_000)
+def _digest(token: str) -> bytes:
+    return hashlib.blake2b(token.encode(), digest_size=8).digest()
+
+
 def simhash_of(text: str | None) -> int:
     """The same with BLAKE2b token hashes; unsigned. Empty or without tokens: 0."""
     import re
@@ -84,13 +89,18 @@ def simhash_of(text: str | None) -> int:
     counts = Counter(re.findall(TOKEN, (text or "").lower()))
     if not counts:
         return 0
-    raw = b"".join(hashlib.blake2b(t.encode(), digest_size=8).digest() for t in counts)
+    raw = b"".join(map(_digest, counts))
     bits = np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1).astype(np.int64)
     weight = np.fromiter(counts.values(), np.int64)
     score = 2 * (weight @ bits) - weight.sum()
     return int.from_bytes(np.packbits(score > 0).tobytes(), "big")
 
 
+def signed(h: int) -> int:
+    """Two's complement of 64 bits."""
+    return h - (1 << 64) if h >> 63 else h
+
+
 @F.pandas_udf(LongType())
 def simhash_blake2b_of(text: pd.Series) -> pd.Series:
     """The same as a column, where a join by id would move texts; null for a null text."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ HELP_PATTERN = r"\b(can someone help me|how do i fix|i am stuck|i'm stuck|anyone
 
 SPAM = "|".join(SPAM_PATTERNS)
 HELP_ASKED = HELP_PATTERN
+#: One of these is in whatever the patterns match; they are looked for first.
+SPAM_WORDS = ("please", "check", "code", "buy", "click", "job opening", "hiring")
+HELP_WORDS = ("help", "how do i fix", "stuck", "know how")
 
 
 @dataclass(frozen=True)
@@ -50,7 +54,7 @@ def _total_length(parts: Column) -> Column:
 
 def code_chars(text: Column) -> Column:
     """Characters in fenced blocks' bodies and in inline code with its ticks (inline code within a fence counts again)."""
-    return _total_length(all_of(text, FENCE, 1)) + _total_length(all_of(text, INLINE))
+    return F.when(~F.contains(text, F.lit("`")), 0).otherwise(_total_length(all_of(text, FENCE, 1)) + _total_length(all_of(text, INLINE)))
 
 
 def n_words(text: Column) -> Column:
@@ -58,7 +62,7 @@ def n_words(text: Column) -> Column:
 
 
 def n_links(text: Column) -> Column:
-    return F.regexp_count(text, F.lit("(?U)" + LINK))
+    return F.when(~F.contains(text, F.lit("http")), 0).otherwise(F.regexp_count(text, F.lit("(?U)" + LINK)))
 
 
 def link_ratio(text: Column) -> Column:
@@ -74,15 +78,22 @@ def unique_ratio(text: Column) -> Column:
 
 
 def strip_code(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, F.lit(FENCE), F.lit(" ")), F.lit(INLINE), F.lit(" "))
+    bare = F.regexp_replace(F.regexp_replace(text, F.lit(FENCE), F.lit(" ")), F.lit(INLINE), F.lit(" "))
+    return F.when(F.contains(text, F.lit("`")), bare).otherwise(text)
+
+
+def _may_have(text: Column, words: tuple[str, ...]) -> Column:
+    """Whether one of the words is in the text in letters of either case, with those that Unicode folds to ASCII (a dot over I, a long s)."""
+    low = F.replace(F.replace(F.replace(F.lower(text), F.lit("ſ"), F.lit("s")), F.lit("ı"), F.lit("i")), F.lit("\u0307"), F.lit(""))
+    return reduce(Column.__or__, [F.contains(low, F.lit(w)) for w in words])
 
 
 def is_spam(text: Column) -> Column:
-    return F.regexp_like(text, F.lit("(?iU)" + SPAM))
+    return F.when(~_may_have(text, SPAM_WORDS), False).otherwise(F.regexp_like(text, F.lit("(?iU)" + SPAM)))
 
 
 def asks_help(text: Column) -> Column:
-    return F.regexp_like(text, F.lit("(?iU)" + HELP_ASKED))
+    return F.when(~_may_have(text, HELP_WORDS), False).otherwise(F.regexp_like(text, F.lit("(?iU)" + HELP_ASKED)))
 
 
 def features(text: Column) -> dict[str, Column]:

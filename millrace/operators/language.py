@@ -6,10 +6,13 @@ import re
 from collections import Counter
 from functools import lru_cache
 
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from ..functions.fingerprint import signed, simhash_of
 from ..functions.text import strip_code
 
 COMMON = {
@@ -61,3 +64,24 @@ def detect_udf(texts):
 def with_language(df, text_col: str, to: str = "language"):
     """Language of the text without code; the code is stripped in the JVM, before Arrow."""
     return df.withColumn(to, detect_udf(strip_code(F.col(text_col))))
+
+
+def with_language_and_print(df, text_col: str, which: Column, languages: tuple[str, ...]):
+    """df with language of the rows that `which` holds for, and simhash (BLAKE2b) of those in one of the languages; null otherwise.
+
+    Texts go to Python once for both; what is left without code goes beside them only where there is code.
+    """
+    whole = F.when(which, F.col(text_col))
+    code = F.contains(whole, F.lit("`"))
+
+    @F.arrow_udf("struct<language:string,simhash:bigint>")
+    def judge(texts: pa.Array, bare: pa.Array) -> pa.Array:
+        found, prints = [], []
+        for t, b in zip(texts, bare, strict=True):
+            text = t.as_py()
+            found.append(None if text is None else detect(b.as_py() if b.is_valid else text))
+            prints.append(signed(simhash_of(text)) if found[-1] in languages else None)
+        return pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(prints, pa.int64())], ["language", "simhash"])
+
+    judged = df.withColumn("__judged", judge(whole, F.when(code, strip_code(whole))))
+    return judged.withColumns({"language": F.col("__judged.language"), "simhash": F.col("__judged.simhash")}).drop("__judged")

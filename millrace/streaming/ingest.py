@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.fingerprint import simhash_blake2b_of
 from ..functions.scalars import url_hash
 from ..functions.text import Gate, assess
 from ..operators.dedup import append_if_absent, first_wins, greedy_keep, probe, unexpired
-from ..operators.language import with_language
+from ..operators.language import with_language_and_print
 from ..operators.store import dead_letters, exists, number_after
 
 
@@ -46,10 +45,10 @@ class Ingest:
         bad = parsed.filter("m IS NULL OR m.url IS NULL")
         m = parsed.filter("m.url IS NOT NULL").select("msg_id", "value", "m.*").withColumn("url_hash", url_hash(F.col("url")))
         m = first_wins(m, ["url_hash"], ["msg_id"])
-        judged = with_language(assess(m, gate=self.gate), "content_md")
+        judged = assess(m, gate=self.gate)
         known = self.table(spark, "articles").select("url_hash", "content_hash", F.col("crawled_at").alias("indexed_at")).withColumn("known", F.lit(True))
         judged = judged.join(known.select("url_hash", "known"), "url_hash", "left")
-        judged = judged.withColumn("simhash", simhash_blake2b_of(F.when(F.col("keep") & F.col("known").isNull(), F.col("content_md")))).persist()
+        judged = with_language_and_print(judged, "content_md", F.col("keep") & F.col("known").isNull(), self.languages).persist()
         at, now = f"{self.root}/outcomes/batch={batch_id}", F.current_timestamp()
         try:
             if not exists(spark, f"{at}/_SUCCESS"):
@@ -69,12 +68,11 @@ class Ingest:
 
     def decide(self, judged: DataFrame, known: DataFrame, batch_id: int, now: Column) -> DataFrame:
         """batch_id, msg_id, source_type, outcome, ts for each message of a batch."""
-        fresh = judged.filter("keep AND known IS NULL").select("msg_id", "simhash")
+        fresh = judged.filter("simhash IS NOT NULL").select("msg_id", "simhash")
         index = unexpired(known.select(F.col("content_hash").alias("simhash"), "indexed_at").filter("simhash IS NOT NULL"), now, self.near_days)
         near = probe(fresh, index, "msg_id", self.most_bits)
         # What no stored article is near arrives in the order of msg_id: a message that a kept one of the batch is near is dropped.
-        arrives = judged.filter(F.col("keep") & F.col("known").isNull() & F.col("language").isin(*self.languages)).select("msg_id", "simhash")
-        kept = greedy_keep(arrives.join(near, "msg_id", "left_anti"), id_col="msg_id", most_bits=self.most_bits)
+        kept = greedy_keep(fresh.join(near, "msg_id", "left_anti"), id_col="msg_id", most_bits=self.most_bits)
         dup = fresh.join(kept, "msg_id", "left_anti").select("msg_id").withColumn("dup", F.lit(True))
         outcome = F.when(F.col("known"), "seen").when(~F.col("keep"), F.col("reason")).when(~F.col("language").isin(*self.languages), "lang").when(F.col("dup"), "dup").otherwise("stored")
         done = judged.join(dup, "msg_id", "left").withColumn("outcome", outcome)

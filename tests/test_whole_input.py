@@ -209,3 +209,30 @@ def test_chunks_are_handed_on_slice_by_slice(spark):
     assert held.columns == ["id", "pieces"]  # the text isn't sent back beside its pieces
     got = {r.id: [(p.text, tuple(p.heading_path)) for p in r.pieces] for r in held.collect()}
     assert got == {i: md.chunk_markdown(t, min_chars=1) for i, t in enumerate(texts)}
+
+
+def test_words_looked_for_first_hide_no_match(spark):
+    """Texts that the patterns match in letters which Unicode folds to ASCII, or not at all: the same with and without the words."""
+    texts = ["PLEA\u017fE help", "CL\u0130CK here", "cl\u0131c\u212a HERE", "Chec\u212a out my blog", "promo \u00e9 CODE", "free code", "we are hiring", "JOB OPENING", "buy\u2003now", "buy now", "a decode", "", None, "how do I f\u0131x", "I'm \u017ftuck", "anyone KNOW how", "I am stuck.", "h\u00e9lp", "see http", "https://a b", "[x](http://y)", "`a` http://z"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    t = F.col("t")
+    plain = {"spam": F.regexp_like(t, F.lit("(?iU)" + tx.SPAM)), "help": F.regexp_like(t, F.lit("(?iU)" + tx.HELP_ASKED)), "links": F.regexp_count(t, F.lit("(?U)" + tx.LINK)), "code": tx._total_length(tx.all_of(t, tx.FENCE, 1)) + tx._total_length(tx.all_of(t, tx.INLINE))}
+    rows = df.select("i", *[v.alias(k) for k, v in plain.items()]).collect()
+    assert df.select("i", tx.is_spam(t).alias("spam"), tx.asks_help(t).alias("help"), tx.n_links(t).alias("links"), tx.code_chars(t).alias("code")).collect() == rows
+    assert sum(bool(r.spam) for r in rows) > 4 and sum(bool(r.help) for r in rows) > 2
+
+
+def test_language_and_print_only_where_needed(spark):
+    from millrace.operators.language import detect, with_language_and_print
+
+    en, de = "this is what the people of that town have said to all of us when it was late", "das ist nicht der Hund von dem wir als es auch noch hell war mit dir auf dem Weg"
+    texts = [en, de, en + " `das ist nicht der` ", None, "", en + "\n```\ndas ist nicht der Hund\n```\n" + en]
+    df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate((k, t) for k in (True, False) for t in texts)], "i int, k boolean, t string")
+    got = {r.i: (r.language, r.simhash) for r in with_language_and_print(df, "t", F.col("k"), ("en",)).collect()}
+    for i, t in enumerate(texts):
+        bare = None if t is None else re.sub(tx.INLINE, " ", re.sub(tx.FENCE, " ", t))
+        lang = None if t is None else detect(bare)
+        h = simhash_of(t)
+        assert got[i] == (lang, (h - (1 << 64) if h >> 63 else h) if lang == "en" else None)
+        assert got[i + len(texts)] == (None, None)
+    assert got[0][0] == "en" and got[1] == ("de", None)
